@@ -24,9 +24,10 @@ def sse(y, p) -> Column:
 
 
 def rmse(y, p) -> Column:
-    """sqrt(mean((y - p)^2))."""
+    """sqrt(mean((y - p)^2)), written as sqrt(SSE / n) so that it shares its
+    sum with :func:`r2` (Spark computes equal aggregate expressions once)."""
     d = _c(y).cast("double") - _c(p).cast("double")
-    return F.sqrt(F.avg(d * d))
+    return F.sqrt(sse(y, p) / F.count(d))
 
 
 def r2(y, p) -> Column:

@@ -99,7 +99,9 @@ class LinearModel(Model):
 
     def predict_col(self, sources=None) -> Column:
         zs = self.z(sources)
-        return _lit(self.intercept) + _dot(_lit(w) * z for w, z in zip(self.coef, zs))
+        # Zero weights (clamped NNLS terms, single-feature models) are left out:
+        # Catalyst cannot fold ``0.0 * x`` away because of NaN semantics.
+        return _lit(self.intercept) + _dot(_lit(w) * z for w, z in zip(self.coef, zs) if w != 0.0)
 
     def dist_cols(self, sources=None):
         if not self.distributional:
@@ -107,7 +109,7 @@ class LinearModel(Model):
         zs = self.z(sources)
         d = len(zs)
         quad = _dot(_lit(self.sigma[i][j] * (1 if i == j else 2)) * zs[i] * zs[j]
-                    for i in range(d) for j in range(i, d))
+                    for i in range(d) for j in range(i, d) if self.sigma[i][j] != 0.0)
         return self.predict_col(sources), F.sqrt(quad + _lit(1.0 / self.alpha))
 
     def to_dict(self):

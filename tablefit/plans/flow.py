@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablefit.functions.scaler import fit_scaler
 from tablefit.functions.stats import r2, rmse
 from tablefit.operators import calibration, checks, linear, registry, scoring, search, split
 from tablefit.operators.models import MODEL_TYPES, LinearModel
@@ -107,12 +106,11 @@ def run_all(spark: SparkSession, raw: DataFrame, spec: FeatureSpec, root: str, m
 def fit_and_score(spark: SparkSession, sf_dir: str, spec: FeatureSpec = LINEITEM_SPEC, seed: int = 42) -> DataFrame:
     """The minimum slice: lineitem -> layers -> split -> checks -> scaler -> least
     squares -> hold-out ``(n, rmse, r2)``; three aggregates over the data."""
-    raw = tables.lineitem_regression(spark, sf_dir)
+    raw = tables.lineitem_regression(spark, sf_dir, id_order="source")
     gold = layers.gold(layers.silver(layers.bronze(raw, spec), spec), spec)
     train, scoring_set = split.split_train_scoring(gold, spec.id_col, 0.5, seed)
     checks.validate_train_scoring(train, spec, "Train set")
-    scaler = fit_scaler(train, spec.features)
-    ybar = train.agg(F.avg(spec.target)).first()[0]
+    scaler, ybar, _ = search.scaler_and_shift(train, spec)
     m = linear.moments(train, scaler, spec.target, ybar)[None]
     b, w = linear.fit_least_squares(m, True, False)
     model = LinearModel(scaler, b, w)

@@ -368,8 +368,7 @@ def q_gram_matrix(spark, sf_dir):
 def q_ols_univariate(spark, sf_dir):
     """M1: simple regressions from the Gram aggregate against SQL's regr_slope / regr_intercept."""
     tr, _ = _split(spark, sf_dir)
-    scaler = fit_scaler(tr, SPEC.features)
-    ybar = tr.agg(F.avg("revenue")).first()[0]
+    scaler, ybar, _ = search.scaler_and_shift(tr, SPEC)
     m = linear.moments(tr, scaler, "revenue", ybar)[None]
     rows = [(f["feature"], round(f["slope"], 6), round(f["intercept"], 4)) for f in linear.univariate_fits(m, scaler)]
     return spark.createDataFrame(rows, "feature string, slope double, intercept double")
@@ -377,8 +376,7 @@ def q_ols_univariate(spark, sf_dir):
 
 def _fitted_linear(spark, sf_dir, kind: str):
     tr, sc = _split(spark, sf_dir)
-    scaler = fit_scaler(tr, SPEC.features)
-    ybar = tr.agg(F.avg("revenue")).first()[0]
+    scaler, ybar, _ = search.scaler_and_shift(tr, SPEC)
     m = linear.moments(tr, scaler, "revenue", ybar)[None]
     if kind == "bayes":
         b, w, sigma, alpha, _, _ = linear.fit_bayesian_ridge(m)

@@ -21,17 +21,23 @@ def revenue_expr():
     return (F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).alias("revenue")
 
 
-def lineitem_regression(spark: SparkSession, sf_dir: str, with_id: bool = True) -> DataFrame:
+def lineitem_regression(spark: SparkSession, sf_dir: str, with_id: bool = True,
+                        id_order: str = "sort") -> DataFrame:
     """Features, ``revenue`` target and a ``row_id`` 1..n.
 
-    The ID orders on all lineitem columns (order/line pairs repeat, full rows
-    do not), so it is reproducible by any engine that can sort.
+    ``id_order="sort"`` orders on all lineitem columns (order/line pairs
+    repeat, full rows do not), reproducible by any engine that can sort; it
+    costs a sort of the whole table. ``id_order="source"`` numbers rows in file
+    order from the scan metadata: no sort and no shuffle, the choice at scale.
     """
     li = load(spark, sf_dir, "lineitem")
-    if with_id:
-        li = sequential_id(li, "row_id", order_by=list(LINEITEM_ORDER))
-        return li.select(*LINEITEM_FEATURES, revenue_expr(), "row_id")
-    return li.select(*LINEITEM_FEATURES, revenue_expr())
+    if not with_id:
+        return li.select(*LINEITEM_FEATURES, revenue_expr())
+    if id_order == "source":
+        li = sequential_id(li.select(*LINEITEM_FEATURES, revenue_expr()), "row_id")
+        return li.select(*LINEITEM_FEATURES, "revenue", "row_id")
+    li = sequential_id(li, "row_id", order_by=list(LINEITEM_ORDER))
+    return li.select(*LINEITEM_FEATURES, revenue_expr(), "row_id")
 
 
 def null_injected(df: DataFrame) -> DataFrame:
