@@ -74,6 +74,12 @@ class Model:
     def predict_col(self, sources: dict | None = None) -> Column:
         raise NotImplementedError
 
+    def predict_z(self, zs: list[Column]) -> Column:
+        raise NotImplementedError
+
+    def dist_z(self, zs: list[Column]) -> tuple[Column, Column]:
+        raise ValueError(f"{self.kind} predicts no distribution")
+
     def dist_cols(self, sources: dict | None = None) -> tuple[Column, Column]:
         raise ValueError(f"{self.kind} predicts no distribution")
 
@@ -98,7 +104,9 @@ class LinearModel(Model):
         self.distributional = sigma is not None and alpha is not None
 
     def predict_col(self, sources=None) -> Column:
-        zs = self.z(sources)
+        return self.predict_z(self.z(sources))
+
+    def predict_z(self, zs: list[Column]) -> Column:
         # Zero weights (clamped NNLS terms, single-feature models) are left out:
         # Catalyst cannot fold ``0.0 * x`` away because of NaN semantics.
         return _lit(self.intercept) + _dot(_lit(w) * z for w, z in zip(self.coef, zs) if w != 0.0)
@@ -106,11 +114,13 @@ class LinearModel(Model):
     def dist_cols(self, sources=None):
         if not self.distributional:
             return super().dist_cols(sources)
-        zs = self.z(sources)
+        return self.dist_z(self.z(sources))
+
+    def dist_z(self, zs: list[Column]) -> tuple[Column, Column]:
         d = len(zs)
         quad = _dot(_lit(self.sigma[i][j] * (1 if i == j else 2)) * zs[i] * zs[j]
                     for i in range(d) for j in range(i, d) if self.sigma[i][j] != 0.0)
-        return self.predict_col(sources), F.sqrt(quad + _lit(1.0 / self.alpha))
+        return self.predict_z(zs), F.sqrt(quad + _lit(1.0 / self.alpha))
 
     def to_dict(self):
         return {"kind": self.kind, "scaler": self.scaler.to_dict(), "intercept": self.intercept,
@@ -127,7 +137,9 @@ class TreeEnsembleModel(Model):
         self.trees, self.weights, self.init = trees, [float(w) for w in weights], float(init)
 
     def predict_col(self, sources=None) -> Column:
-        zs = self.z(sources)
+        return self.predict_z(self.z(sources))
+
+    def predict_z(self, zs: list[Column]) -> Column:
         return _lit(self.init) + _dot(_lit(w) * tree_column(t, zs) for t, w in zip(self.trees, self.weights))
 
     def to_dict(self):
@@ -151,7 +163,9 @@ class NGBoostModel(Model):
         self.learning_rate = float(learning_rate)
 
     def param_cols(self, sources=None, upto: int | None = None) -> tuple[Column, Column]:
-        zs = self.z(sources)
+        return self.param_z(self.z(sources), upto)
+
+    def param_z(self, zs: list[Column], upto: int | None = None) -> tuple[Column, Column]:
         rounds = self.rounds if upto is None else self.rounds[:upto]
         mu = _lit(self.init_mu) - _dot(_lit(self.learning_rate * r["scale"]) * tree_column(r["mu"], zs)
                                        for r in rounds)
@@ -163,7 +177,13 @@ class NGBoostModel(Model):
         return self.param_cols(sources)[0]
 
     def dist_cols(self, sources=None):
-        mu, s = self.param_cols(sources)
+        return self.dist_z(self.z(sources))
+
+    def predict_z(self, zs):
+        return self.param_z(zs)[0]
+
+    def dist_z(self, zs):
+        mu, s = self.param_z(zs)
         return mu, F.exp(s)
 
     def to_dict(self):

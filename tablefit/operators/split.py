@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 # The exact selection first histograms the top HIST_BITS of the 32-bit hash.
 HIST_BITS = 20
+COARSE_BITS = 10
+# Boundary-bucket rows ranked on the driver when there are at most this many.
+EDGE_COLLECT_ROWS = 100_000
 
 
 def hash_u32(id_col: str | Column, seed: int = 42) -> Column:
@@ -54,10 +57,12 @@ def exact_flag(df: DataFrame, id_col: str, fraction: float, seed: int = 42,
                strata: list[str] | None = None, flag: str = "_tf_held") -> DataFrame:
     """Flag exactly ``ceil(fraction * n_s)`` rows per stratum: the lowest (hash, ID).
 
-    No global sort: a histogram over the top ``HIST_BITS`` of the hash (one
-    aggregate, at most strata x 2^20 rows) finds each stratum's boundary bucket;
-    only the rows of that bucket (about n_s / 2^20) are ranked by a window.
-    IDs must be unique (ties on the hash are broken by the ID).
+    No global sort: one aggregate over the rows builds a histogram of the top
+    ``HIST_BITS`` of the hash (at most strata x 2^20 rows); a coarse running
+    total (2^10 buckets per stratum) and a fine one inside the boundary coarse
+    bucket find each stratum's boundary bucket, so no window sees more than
+    1024 rows per stratum. Only the boundary bucket's rows (about n_s / 2^20)
+    are ranked. IDs must be unique (ties on the hash are broken by the ID).
     """
     strata = list(strata or [])
     keys = strata or ["_tf_all"]
@@ -66,33 +71,63 @@ def exact_flag(df: DataFrame, id_col: str, fraction: float, seed: int = 42,
         base = base.withColumn("_tf_all", F.lit(0))
     base = base.withColumn("_tf_b", F.shiftright(F.col("_tf_h"), 32 - HIST_BITS))
 
-    hist = base.groupBy(*keys, "_tf_b").agg(F.count(F.lit(1)).alias("_tf_n"))
-    run = Window.partitionBy(*keys).orderBy("_tf_b").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*keys)
-    hist = (hist.withColumn("_tf_cum", F.sum("_tf_n").over(run))
-            .withColumn("_tf_k", F.ceil(F.sum("_tf_n").over(whole).cast("decimal(38,0)")
-                                        * F.lit(Decimal(repr(float(fraction))))).cast("bigint")))
-    bound = (hist.filter((F.col("_tf_cum") >= F.col("_tf_k"))
-                         & (F.col("_tf_cum") - F.col("_tf_n") < F.col("_tf_k")))
-             .select(*keys, F.col("_tf_b").alias("_tf_bb"),
-                     (F.col("_tf_k") - (F.col("_tf_cum") - F.col("_tf_n"))).alias("_tf_need")))
-    bound = bound.cache()
-    n_bound = bound.count()
-    bound_side = F.broadcast(bound) if n_bound <= BROADCAST_ROWS else bound
-
-    edge = (base.join(bound_side, keys).filter(F.col("_tf_b") == F.col("_tf_bb"))
-            .withColumn("_tf_r", F.row_number().over(
-                Window.partitionBy(*keys).orderBy("_tf_h", id_col)))
-            .filter(F.col("_tf_r") <= F.col("_tf_need"))
-            .select(id_col, F.lit(True).alias("_tf_edge")))
-    edge = edge.cache()
-    n_edge = edge.count()
-    edge_side = F.broadcast(edge) if n_edge <= BROADCAST_ROWS else edge
-
+    # One pass over the rows: the fine histogram (at most strata x 2^20 rows).
+    hist = base.groupBy(*keys, "_tf_b").agg(F.count(F.lit(1)).alias("_tf_n")).cache()
+    # Coarse buckets from the histogram: at most 2^COARSE_BITS rows per stratum,
+    # so each stratum's running total is a small window.
+    shift = HIST_BITS - COARSE_BITS
+    coarse = (hist.groupBy(*keys, F.shiftright("_tf_b", shift).alias("_tf_c"))
+              .agg(F.sum("_tf_n").alias("_tf_cn")))
+    run_c = Window.partitionBy(*keys).orderBy("_tf_c").rowsBetween(Window.unboundedPreceding, 0)
+    coarse = (coarse.withColumn("_tf_ccum", F.sum("_tf_cn").over(run_c))
+              .withColumn("_tf_k", F.ceil(F.sum("_tf_cn").over(Window.partitionBy(*keys)).cast("decimal(38,0)")
+                                          * F.lit(Decimal(repr(float(fraction))))).cast("bigint")))
+    cbound = (coarse.filter((F.col("_tf_ccum") >= F.col("_tf_k"))
+                            & (F.col("_tf_ccum") - F.col("_tf_cn") < F.col("_tf_k")))
+              .select(*keys, F.col("_tf_c").alias("_tf_cb"),
+                      (F.col("_tf_k") - (F.col("_tf_ccum") - F.col("_tf_cn"))).alias("_tf_cneed")))
+    # Fine buckets inside each stratum's boundary coarse bucket (2^(20-10) rows at most).
+    fine = hist.join(cbound, keys).filter(F.shiftright("_tf_b", shift) == F.col("_tf_cb"))
+    run_f = Window.partitionBy(*keys).orderBy("_tf_b").rowsBetween(Window.unboundedPreceding, 0)
+    fine = fine.withColumn("_tf_cum", F.sum("_tf_n").over(run_f))
+    bound = (fine.filter((F.col("_tf_cum") >= F.col("_tf_cneed"))
+                         & (F.col("_tf_cum") - F.col("_tf_n") < F.col("_tf_cneed")))
+             .select(*keys, F.col("_tf_b").alias("_tf_bb"), F.col("_tf_n").alias("_tf_bn"),
+                     (F.col("_tf_cneed") - (F.col("_tf_cum") - F.col("_tf_n"))).alias("_tf_need")))
+    # One row per stratum at most: collected once (the histogram job), it is
+    # broadcast and also tells how many rows the boundary buckets hold.
+    bound_rows = bound.limit(BROADCAST_ROWS + 1).collect()
+    if len(bound_rows) <= BROADCAST_ROWS:
+        bound_side = F.broadcast(df.sparkSession.createDataFrame(bound_rows, bound.schema))
+        n_edge = sum(r["_tf_bn"] for r in bound_rows)
+    else:
+        bound_side, n_edge = bound, None
+
+    boundary = base.join(bound_side, keys).filter(F.col("_tf_b") == F.col("_tf_bb"))
+    if n_edge is not None and n_edge <= EDGE_COLLECT_ROWS:
+        # The boundary buckets are small and their size is known: rank them here.
+        rows = boundary.select(*keys, "_tf_h", id_col, "_tf_need").collect()
+        groups: dict = {}
+        for r in rows:
+            groups.setdefault(tuple(r[k] for k in keys), []).append(r)
+        chosen = []
+        for g in groups.values():
+            g.sort(key=lambda r: (r["_tf_h"], r[id_col]))
+            chosen += [(r[id_col], True) for r in g[:g[0]["_tf_need"]]]
+        id_type = base.schema[id_col].dataType.simpleString()
+        edge_side = F.broadcast(df.sparkSession.createDataFrame(chosen, f"`{id_col}` {id_type}, _tf_edge boolean"))
+    else:
+        edge = (boundary.withColumn("_tf_r", F.row_number().over(
+                    Window.partitionBy(*keys).orderBy("_tf_h", id_col)))
+                .filter(F.col("_tf_r") <= F.col("_tf_need"))
+                .select(id_col, F.lit(True).alias("_tf_edge")))
+        edge_side = F.broadcast(edge) if n_edge is not None and n_edge <= BROADCAST_ROWS else edge
+
+    hist.unpersist()
     out = (base.join(bound_side, keys, "left").join(edge_side, id_col, "left")
            .withColumn(flag, F.coalesce(F.col("_tf_b") < F.col("_tf_bb"), F.lit(False))
                        | F.col("_tf_edge").isNotNull()))
-    drop = ["_tf_h", "_tf_b", "_tf_bb", "_tf_need", "_tf_edge"] + ([] if strata else ["_tf_all"])
+    drop = ["_tf_h", "_tf_b", "_tf_bb", "_tf_bn", "_tf_need", "_tf_edge"] + ([] if strata else ["_tf_all"])
     return out.drop(*drop)
 
 

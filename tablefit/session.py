@@ -74,3 +74,14 @@ def ensure_local_dir(path: str) -> str:
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin repartition only when ``df`` has fewer partitions than the
+    cluster's parallelism (a file with one row group scans as one task).
+
+    For inputs that an operator reads many times (iterative fits); at scale a
+    scan already has more partitions than cores and nothing is shuffled.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
