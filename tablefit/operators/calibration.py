@@ -7,12 +7,16 @@ row per grid point per task (partial aggregation), whatever the row count.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablefit.functions.stats import linspace_point, normal_pdf
 from tablefit.operators.split import sample_k
 
+# |z| beyond which a Normal density underflows to 0.0 (exp(-745) is below the
+# smallest double).
+SUPPORT_SIGMAS = 40.0
+
 
 def _bounds(df: DataFrame, value: str) -> tuple[float, float, int]:
     row = df.agg(F.min(F.col(value).cast("double")).alias("lo"), F.max(F.col(value).cast("double")).alias("hi"),
@@ -47,8 +51,9 @@ def mixture_density(df: DataFrame, mu: Column | str, sigma: Column | str, lo: fl
                     points: int = 500, dedupe: bool = False) -> DataFrame:
     """Mean over rows of Normal(mu, sigma) densities on ``points`` grid points.
 
-    Each row expands to ``points`` densities in the scan stage and is folded by
-    a partial aggregate at once. ``dedupe=True`` first groups equal (mu, sigma)
+    Each row expands to (at most) ``points`` densities in the scan stage and is
+    folded by a partial aggregate at once, so the shuffle is one row per grid
+    point per task. ``dedupe=True`` first groups equal (mu, sigma)
     pairs (worth it when they repeat, e.g. a discrete mean), weighting by count.
     """
     mu_c = F.col(mu) if isinstance(mu, str) else mu
@@ -58,11 +63,27 @@ def mixture_density(df: DataFrame, mu: Column | str, sigma: Column | str, lo: fl
         pairs = pairs.groupBy("_tf_mu", "_tf_sd").agg(F.count(F.lit(1)).cast("double").alias("_tf_w"))
     else:
         pairs = pairs.withColumn("_tf_w", F.lit(1.0))
-    grid = pairs.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+    # Beyond SUPPORT_SIGMAS standard deviations exp(-z^2 / 2) is exactly 0.0 in
+    # double precision, so each row only expands over the grid points in its
+    # support: the same sums, less work when sigma is small against the range.
+    step = (hi - lo) / (points - 1) if points > 1 else 1.0
+    reach = F.lit(SUPPORT_SIGMAS) * F.col("_tf_sd")
+    first = F.greatest(F.lit(0), F.floor((F.col("_tf_mu") - reach - F.lit(lo)) / F.lit(step)).cast("int"))
+    last = F.least(F.lit(points - 1), F.ceil((F.col("_tf_mu") + reach - F.lit(lo)) / F.lit(step)).cast("int"))
+    # Grid index -1 carries each row's weight once, so the normaliser comes out
+    # of the same aggregate.
+    span = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    grid = pairs.select("*", F.explode(F.concat(F.array(F.lit(-1)), span)).alias("i"))
     x = linspace_point(F.col("i"), F.lit(lo), F.lit(hi), points)
-    return (grid.groupBy("i")
-            .agg((F.sum(F.col("_tf_w") * normal_pdf(x, "_tf_mu", "_tf_sd")) / F.sum("_tf_w")).alias("density"))
-            .select("i", linspace_point(F.col("i"), F.lit(lo), F.lit(hi), points).alias("x"), "density"))
+    contrib = F.when(F.col("i") == -1, F.col("_tf_w")).otherwise(F.col("_tf_w") * normal_pdf(x, "_tf_mu", "_tf_sd"))
+    sums = grid.groupBy("i").agg(F.sum(contrib).alias("_tf_s"))
+    # At most points + 1 rows: the window and the join below stay small.
+    sums = sums.withColumn("_tf_tot", F.max(F.when(F.col("i") == -1, F.col("_tf_s"))).over(Window.partitionBy()))
+    all_points = df.sparkSession.range(points).select(F.col("id").cast("int").alias("i"))
+    joined = all_points.join(F.broadcast(sums.filter(F.col("i") >= 0)), "i", "left")
+    total = F.max("_tf_tot").over(Window.partitionBy())
+    return joined.select("i", linspace_point(F.col("i"), F.lit(lo), F.lit(hi), points).alias("x"),
+                         (F.coalesce(F.col("_tf_s"), F.lit(0.0)) / total).alias("density"))
 
 
 def mixture_density_for(df: DataFrame, actual: str, mu, sigma, points: int = 500,

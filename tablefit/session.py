@@ -85,3 +85,18 @@ def spread(df, min_partitions: int | None = None):
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared folder.
+
+    The rows are persisted first so writing the checkpoint does not compute
+    them a second time; the persisted copy is released afterwards.
+    """
+    from pyspark import StorageLevel
+
+    shared_dir(df.sparkSession)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = kept.checkpoint(eager=True)
+    kept.unpersist()
+    return out

@@ -68,13 +68,11 @@ def sequential_id(df: DataFrame, id_col: str, order_by: list | None = None) -> D
         out = joined.withColumn(id_col, (F.col("_tf_off") + F.col("_tf_row") + 1).cast("bigint"))
         return out.drop("_tf_file", "_tf_row", "_tf_off")
 
-    from tablefit.session import shared_dir
+    from tablefit.session import materialize
 
-    shared_dir(spark)
-    ordered = (df.orderBy(*order_by)
-               .withColumn("_tf_pid", F.spark_partition_id())
-               .withColumn("_tf_mid", F.monotonically_increasing_id())
-               .checkpoint(eager=True))
+    ordered = materialize(df.orderBy(*order_by)
+                          .withColumn("_tf_pid", F.spark_partition_id())
+                          .withColumn("_tf_mid", F.monotonically_increasing_id()))
     per_part = ordered.groupBy("_tf_pid").agg(F.count(F.lit(1)).alias("_tf_n"))
     offsets = _offsets(per_part, "_tf_pid", "_tf_n")
     local_idx = F.col("_tf_mid") - F.shiftleft(F.col("_tf_pid").cast("bigint"), 33)
