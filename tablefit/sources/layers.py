@@ -54,9 +54,10 @@ def sequential_id(df: DataFrame, id_col: str, order_by: list | None = None) -> D
     ``order_by=None`` numbers rows in source order (file, then row inside the
     file) from the scan's ``_metadata``: one count per file, no sort and no
     shuffle of the data. With ``order_by`` the rows are range-partitioned and
-    sorted by those keys, materialised once (reliable checkpoint, so a lost
-    executor cannot renumber them), and numbered by per-partition offsets.
-    Neither path puts the rows into one partition.
+    sorted by those keys (scan position as the last tie-break, so a hot key is
+    split), materialised once (reliable checkpoint, so a lost executor cannot
+    renumber them), and numbered by per-partition offsets. Neither path puts
+    the rows into one partition.
     """
     spark = df.sparkSession
     if order_by is None:
@@ -70,7 +71,10 @@ def sequential_id(df: DataFrame, id_col: str, order_by: list | None = None) -> D
 
     from tablefit.session import materialize
 
-    ordered = materialize(df.orderBy(*order_by)
+    # The scan position breaks ties last: identical keys (up to whole copies of
+    # a row) then spread over several range partitions instead of one task.
+    ordered = materialize(df.withColumn("_tf_tie", F.monotonically_increasing_id())
+                          .orderBy(*order_by, "_tf_tie").drop("_tf_tie")
                           .withColumn("_tf_pid", F.spark_partition_id())
                           .withColumn("_tf_mid", F.monotonically_increasing_id()))
     per_part = ordered.groupBy("_tf_pid").agg(F.count(F.lit(1)).alias("_tf_n"))

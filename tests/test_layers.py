@@ -90,3 +90,14 @@ def test_layer_roundtrip(spark, reg):
 def test_bronze_missing_column_raises(reg):
     with pytest.raises(ValueError, match="Missing columns"):
         layers.bronze(reg.drop("l_tax"), SPEC)
+
+
+def test_sequential_ids_hot_key_is_spread(spark):
+    df = spark.range(0, 30000, numPartitions=4).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    out = layers.sequential_id(df, "sid", order_by=["k"])
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) < 0.5 * 30000  # the 10,000 equal keys are not left in one task
+    assert checks.expect_sequential_ids(out, "sid").first()["passed"]
+    keys = [r["k"] for r in out.orderBy("sid").select("k").collect()]
+    assert keys == sorted(keys)
