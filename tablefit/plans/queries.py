@@ -449,7 +449,12 @@ def q_trial_search(spark, sf_dir):
     return search.trials_frame(spark, results)
 
 
-@query("signature_check")
+_SIG_TYPES = {"l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
+              "l_linenumber": "integer"}
+
+
+@query("signature_check", _TR + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS type, count({c}) AS n_rows FROM sc" for c, t in _SIG_TYPES.items()))
 def q_signature_check(spark, sf_dir):
     """The model signature taken on the training part is checked on the scoring part."""
     tr, sc = _split(spark, sf_dir)
