@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Python workers are reused, so an Arrow UDF does not pay a fork per task.
     "spark.python.worker.reuse": "true",
+    # Checkpoint files of frames that are no longer referenced are removed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
