@@ -102,3 +102,23 @@ def materialize(df):
     out = kept.checkpoint(eager=True)
     kept.unpersist()
     return out
+
+
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def fit_partitions(df, n_rows: int, row_bytes: int = 64):
+    """Partitions sized to the data once its row count is known.
+
+    ``max(cores, rows * row_bytes / 128 MB)``: an input split far finer than
+    that (e.g. 200 shuffle partitions over a small table) is merged with a
+    narrow ``coalesce``; one split coarser than the cores is spread.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    target = max(cores, -(-int(n_rows) * int(row_bytes) // TARGET_PARTITION_BYTES))
+    current = df.rdd.getNumPartitions()
+    if current > 2 * target:
+        return df.coalesce(target)
+    if current < cores:
+        return df.repartition(target)
+    return df

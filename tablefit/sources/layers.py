@@ -69,7 +69,7 @@ def sequential_id(df: DataFrame, id_col: str, order_by: list | None = None) -> D
         out = joined.withColumn(id_col, (F.col("_tf_off") + F.col("_tf_row") + 1).cast("bigint"))
         return out.drop("_tf_file", "_tf_row", "_tf_off")
 
-    from tablefit.session import materialize
+    from tablefit.session import fit_partitions, materialize
 
     # The scan position breaks ties last: identical keys (up to whole copies of
     # a row) then spread over several range partitions instead of one task.
@@ -78,14 +78,16 @@ def sequential_id(df: DataFrame, id_col: str, order_by: list | None = None) -> D
                           .withColumn("_tf_pid", F.spark_partition_id())
                           .withColumn("_tf_mid", F.monotonically_increasing_id()))
     per_part = ordered.groupBy("_tf_pid").agg(F.count(F.lit(1)).alias("_tf_n"))
-    offsets = _offsets(per_part, "_tf_pid", "_tf_n")
+    offsets, n_rows = _offsets(per_part, "_tf_pid", "_tf_n", with_total=True)
     local_idx = F.col("_tf_mid") - F.shiftleft(F.col("_tf_pid").cast("bigint"), 33)
     out = (ordered.join(offsets, "_tf_pid")
            .withColumn(id_col, (F.col("_tf_off") + local_idx + 1).cast("bigint")))
-    return out.drop("_tf_pid", "_tf_mid", "_tf_off")
+    # The IDs are fixed by the materialised columns, so merging partitions
+    # afterwards (a narrow coalesce) cannot change them.
+    return fit_partitions(out.drop("_tf_pid", "_tf_mid", "_tf_off"), n_rows, 8 * len(df.columns) + 8)
 
 
-def _offsets(counts: DataFrame, key: str, n: str) -> DataFrame:
+def _offsets(counts: DataFrame, key: str, n: str, with_total: bool = False):
     """Exclusive running total of ``n`` in ``key`` order.
 
     ``counts`` has one row per file or per partition, bounded by the layout and
@@ -100,7 +102,8 @@ def _offsets(counts: DataFrame, key: str, n: str) -> DataFrame:
     key_type = counts.schema[key].dataType
     schema = T.StructType([T.StructField(key, key_type), T.StructField("_tf_off", T.LongType())])
     small = counts.sparkSession.createDataFrame(out, schema)
-    return F.broadcast(small) if len(out) <= OFFSET_BROADCAST_ROWS else small
+    small = F.broadcast(small) if len(out) <= OFFSET_BROADCAST_ROWS else small
+    return (small, acc) if with_total else small
 
 
 # --------------------------------------------------------------------------- S5, S6, S8
