@@ -15,7 +15,7 @@ from tablefit.functions.scaler import Scaler
 from tablefit.operators.models import MODEL_TYPES
 from tablefit.plans.store import ModelStore
 from tablefit.sources import layers, tables
-from tablefit.spec import FeatureSpec, LINEITEM_SPEC
+from tablefit.spec import FeatureSpec, LINEITEM_SPEC, check_signature
 
 ALIASES = ("champion", "challenger", "best_calibrated")
 
@@ -71,7 +71,10 @@ def batch_score_job(spark: SparkSession, store: ModelStore, model_name: str, sco
     """Check, score by the three aliases in one projection, write, then metrics from the written table."""
     scoring_set = layers.read_layer(spark, scoring_path)
     checks.validate_train_scoring(scoring_set, spec, "Scoring set")
-    models = {a: store.resolve(model_name, a)[2] for a in ALIASES}
+    resolved = {a: store.resolve(model_name, a) for a in ALIASES}
+    for _, run_id, _ in resolved.values():
+        check_signature(scoring_set, store.signature(run_id))  # M12: names and types before scoring
+    models = {a: m for a, (_, _, m) in resolved.items()}
     layers.write_layer(scoring.score(scoring_set, models), out_path)
     scored = layers.read_layer(spark, out_path)
     return scoring.holdout_metrics(scored, spec.target, list(ALIASES))

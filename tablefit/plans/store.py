@@ -61,6 +61,14 @@ class ModelStore:
         self._append(self.spark.createDataFrame(rows_v, registry.VERSIONS_SCHEMA), "model_versions")
         self._append(self.spark.createDataFrame(rows_a, registry.ALIASES_SCHEMA), "model_aliases")
 
+    def signature(self, run_id: str) -> dict:
+        import json
+
+        row = self.runs().filter(F.col("run_id") == run_id).select("signature").limit(1).collect()
+        if not row:
+            raise ValueError(f"Run {run_id!r} is not in the run log")
+        return json.loads(row[0]["signature"])
+
     def resolve(self, model_name: str, alias: str) -> tuple[int, str, Model]:
         res = (registry.resolve(self.versions(), self.aliases())
                .filter((F.col("model_name") == model_name) & (F.col("alias") == alias)).collect())

@@ -71,3 +71,15 @@ def test_store_roundtrip(spark, reg):
     assert model.to_json() == res.model.to_json()
     with pytest.raises(ValueError):
         store.resolve("m", "challenger")
+
+
+def test_signature_check_raises_on_type_change(spark, reg):
+    from tablefit.spec import LINEITEM_SPEC as SPEC
+    from tablefit.spec import check_signature, signature
+
+    sig = signature(reg, SPEC)
+    check_signature(reg, sig)
+    with pytest.raises(ValueError, match="Type mismatch"):
+        check_signature(reg.withColumn("l_linenumber", F.col("l_linenumber").cast("double")), sig)
+    with pytest.raises(ValueError, match="Missing columns"):
+        check_signature(reg.drop("l_tax"), sig)
