@@ -51,12 +51,6 @@ def _split(spark, sf_dir):
     return split.split_train_scoring(reg, SPEC.id_col, 0.5, SEED)
 
 
-def _split_source_ids(spark, sf_dir):
-    """The same split on source-order IDs (no sort): for queries without SQL form."""
-    reg = tables.lineitem_regression(spark, sf_dir, id_order="source")
-    return split.split_train_scoring(reg, SPEC.id_col, 0.5, SEED)
-
-
 def _orders(spark, sf_dir):
     return tables.load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
 

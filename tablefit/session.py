@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -70,14 +69,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tablefit/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def ensure_local_dir(path: str) -> str:
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
-
-
 def spread(df, min_partitions: int | None = None):
     """Round-robin repartition only when ``df`` has fewer partitions than the
     cluster's parallelism (a file with one row group scans as one task).

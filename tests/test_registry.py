@@ -83,3 +83,11 @@ def test_signature_check_raises_on_type_change(spark, reg):
         check_signature(reg.withColumn("l_linenumber", F.col("l_linenumber").cast("double")), sig)
     with pytest.raises(ValueError, match="Missing columns"):
         check_signature(reg.drop("l_tax"), sig)
+
+
+def test_union_candidates_tags_task_order(spark):
+    a = spark.createDataFrame([("r1", "linear_regression", 3.0)], "run_id string, model_type string, val_rmse double")
+    b = spark.createDataFrame([("r2", "ngboost", 2.0)], "run_id string, model_type string, val_rmse double")
+    c = registry.with_distributional_flag(registry.union_candidates([a, b]))
+    rows = {r["run_id"]: (r["ord"], r["is_distributional"]) for r in c.collect()}
+    assert rows == {"r1": (0, False), "r2": (1, True)}
