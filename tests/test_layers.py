@@ -101,3 +101,21 @@ def test_sequential_ids_hot_key_is_spread(spark):
     assert checks.expect_sequential_ids(out, "sid").first()["passed"]
     keys = [r["k"] for r in out.orderBy("sid").select("k").collect()]
     assert keys == sorted(keys)
+
+
+def test_read_table_formats(spark, reg):
+    from tablefit.session import scratch_path
+    from pyspark.sql import types as T
+
+    small = reg.select("row_id", "l_quantity", "revenue").filter(F.col("row_id") <= 50)
+    for fmt in ("csv", "json", "parquet"):
+        path = scratch_path(spark, f"fmt-{fmt}")
+        writer = small.write.mode("overwrite").format(fmt)
+        if fmt == "csv":
+            writer = writer.option("header", "true")
+        writer.save(path)
+        schema = T.StructType([T.StructField("row_id", T.LongType()), T.StructField("l_quantity", T.DoubleType()),
+                               T.StructField("revenue", T.DoubleType())])
+        opts = {"header": "true"} if fmt == "csv" else {}
+        back = layers.read_table(spark, path, schema=schema, fmt=fmt, **opts)
+        assert sorted(back.collect()) == sorted(small.collect())
