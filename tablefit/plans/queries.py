@@ -438,8 +438,7 @@ def q_ngboost_predict(spark, sf_dir):
 def q_trial_search(spark, sf_dir):
     """15 seeded trials each for the linear and Bayesian ridge families; the trial log."""
     tr, _ = _split(spark, sf_dir)
-    results = [search.run_search(tr, SPEC, mt, n_trials=15, seed=SEED)
-               for mt in ("linear_regression", "bayesian_ridge")]
+    results = search.run_searches(tr, SPEC, ["linear_regression", "bayesian_ridge"], n_trials=15, seed=SEED)
     return search.trials_frame(spark, results)
 
 
