@@ -56,3 +56,25 @@ def test_first_and_sample_k(spark):
     s1 = [r[0] for r in split.sample_k(df.repartition(3), "k", 4, 1).collect()]
     s2 = [r[0] for r in split.sample_k(df.repartition(5), "k", 4, 1).collect()]
     assert s1 == s2 and len(set(s1)) == 4
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(n=st.integers(min_value=1, max_value=3000), fraction=st.sampled_from([0.01, 0.2, 0.5, 0.77, 1.0]),
+       seed=st.integers(min_value=0, max_value=10_000), n_strata=st.integers(min_value=1, max_value=4))
+def test_exact_flag_equals_sorting_each_stratum(spark, n, fraction, seed, n_strata):
+    df = spark.range(0, n).select(F.col("id").alias("k"), (F.col("id") % n_strata).alias("s")).repartition(3)
+    got = {r["k"] for r in split.exact_flag(df, "k", fraction, seed, ["s"]).filter("_tf_held").select("k").collect()}
+    rows = df.select("k", "s", split.hash_u32("k", seed).alias("h")).collect()
+    want = set()
+    for stratum in range(n_strata):
+        members = sorted((r["h"], r["k"]) for r in rows if r["s"] == stratum)
+        from decimal import Decimal
+        import math as _m
+
+        take = _m.ceil(Decimal(repr(fraction)) * len(members))
+        want |= {k for _, k in members[:take]}
+    assert got == want
