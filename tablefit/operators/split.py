@@ -62,7 +62,9 @@ def exact_flag(df: DataFrame, id_col: str, fraction: float, seed: int = 42,
     total (2^10 buckets per stratum) and a fine one inside the boundary coarse
     bucket find each stratum's boundary bucket, so no window sees more than
     1024 rows per stratum. Only the boundary bucket's rows (about n_s / 2^20)
-    are ranked. IDs must be unique (ties on the hash are broken by the ID).
+    are ranked; ties on the hash are broken by the ID. Copies of one ID are
+    interchangeable: when a boundary bucket is too large for the driver (for
+    example a hot ID), copies are picked by input position, never by one task.
     """
     strata = list(strata or [])
     keys = strata or ["_tf_all"]
@@ -117,11 +119,7 @@ def exact_flag(df: DataFrame, id_col: str, fraction: float, seed: int = 42,
         id_type = base.schema[id_col].dataType.simpleString()
         edge_side = F.broadcast(df.sparkSession.createDataFrame(chosen, f"`{id_col}` {id_type}, _tf_edge boolean"))
     else:
-        edge = (boundary.withColumn("_tf_r", F.row_number().over(
-                    Window.partitionBy(*keys).orderBy("_tf_h", id_col)))
-                .filter(F.col("_tf_r") <= F.col("_tf_need"))
-                .select(id_col, F.lit(True).alias("_tf_edge")))
-        edge_side = F.broadcast(edge) if n_edge is not None and n_edge <= BROADCAST_ROWS else edge
+        return _exact_flag_wide(base, boundary, bound_side, keys, id_col, flag, strata, hist)
 
     hist.unpersist()
     out = (base.join(bound_side, keys, "left").join(edge_side, id_col, "left")
@@ -131,6 +129,53 @@ def exact_flag(df: DataFrame, id_col: str, fraction: float, seed: int = 42,
     return out.drop(*drop)
 
 
+def _exact_flag_wide(base: DataFrame, boundary: DataFrame, bound_side: DataFrame, keys: list[str], id_col: str,
+                     flag: str, strata: list[str], hist: DataFrame) -> DataFrame:
+    """Boundary buckets too large to rank on the driver (for example many
+    copies of one ID). Copies are first folded per (stratum, hash, ID) by a
+    partial aggregate, the few resulting groups are ranked per stratum, and the
+    copies needed from the one straddling group are picked by input position
+    from per-partition counts: no task ever holds a whole hot group."""
+    groups = boundary.groupBy(*keys, "_tf_h", id_col).agg(F.count(F.lit(1)).alias("_tf_c"),
+                                                         F.first("_tf_need").alias("_tf_need"))
+    run = Window.partitionBy(*keys).orderBy("_tf_h", id_col).rowsBetween(Window.unboundedPreceding, 0)
+    groups = groups.withColumn("_tf_gcum", F.sum("_tf_c").over(run))
+    full = groups.filter(F.col("_tf_gcum") <= F.col("_tf_need")).select(*keys, "_tf_h", id_col,
+                                                                          F.lit(True).alias("_tf_full"))
+    part = (groups.filter((F.col("_tf_gcum") > F.col("_tf_need"))
+                          & (F.col("_tf_gcum") - F.col("_tf_c") < F.col("_tf_need")))
+            .select(*keys, "_tf_h", id_col, (F.col("_tf_need") - (F.col("_tf_gcum") - F.col("_tf_c"))).alias("_tf_take"))
+            .collect())  # at most one straddling group per stratum
+    positioned = base.withColumn("_tf_pid", F.spark_partition_id()).withColumn("_tf_mid", F.monotonically_increasing_id())
+    # ``full`` holds one row per distinct ID of the boundary buckets: no proven
+    # bound, so the join strategy is left to AQE's runtime size check.
+    out = positioned.join(bound_side, keys, "left").join(full, [*keys, "_tf_h", id_col], "left")
+    held = F.coalesce(F.col("_tf_b") < F.col("_tf_bb"), F.lit(False)) | F.col("_tf_full").isNotNull()
+    for r in part:
+        in_group = (F.col("_tf_h") == F.lit(r["_tf_h"])) & (F.col(id_col) == F.lit(r[id_col]))
+        for k in keys:
+            in_group = in_group & (F.col(k) == F.lit(r[k]))
+        # Copies in input order: whole partitions first, then the first copies
+        # of the partition where the needed count is reached.
+        counts = sorted((x["_tf_pid"], x["n"]) for x in positioned.filter(in_group).groupBy("_tf_pid")
+                        .agg(F.count(F.lit(1)).alias("n")).collect())  # one row per input partition
+        need, last_pid, rest = r["_tf_take"], None, 0
+        for pid, n in counts:
+            if need <= n:
+                last_pid, rest = pid, need
+                break
+            need -= n
+        # The straddling partition's cut: a sort bounded by one input partition.
+        cut = (positioned.filter(in_group & (F.col("_tf_pid") == last_pid)).select("_tf_mid")
+               .orderBy("_tf_mid").limit(rest).agg(F.max("_tf_mid")).first()[0])
+        held = held | (in_group & ((F.col("_tf_pid") < F.lit(last_pid))
+                                   | ((F.col("_tf_pid") == F.lit(last_pid)) & (F.col("_tf_mid") <= F.lit(cut)))))
+    out = out.withColumn(flag, held)
+    hist.unpersist()
+    drop = ["_tf_h", "_tf_b", "_tf_bb", "_tf_bn", "_tf_need", "_tf_full", "_tf_pid", "_tf_mid"]
+    return out.drop(*drop, *([] if strata else ["_tf_all"]))
+
+
 def exact_holdout(df: DataFrame, id_col: str, fraction: float = 0.2, seed: int = 42,
                   strata: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(rest, held) with exactly ``ceil(fraction * n)`` held rows (per stratum)."""

@@ -78,3 +78,24 @@ def test_exact_flag_equals_sorting_each_stratum(spark, n, fraction, seed, n_stra
         take = _m.ceil(Decimal(repr(fraction)) * len(members))
         want |= {k for _, k in members[:take]}
     assert got == want
+
+
+def test_exact_flag_hot_duplicated_id(spark, monkeypatch):
+    """A third of the rows share one ID; the wide path (forced) still holds exactly ceil(f n)."""
+    import math
+
+    monkeypatch.setattr(split, "EDGE_COLLECT_ROWS", 0)
+    n = 3000
+    df = spark.range(0, n, numPartitions=4).select(
+        F.when(F.col("id") % 3 == 0, F.lit(123456)).otherwise(F.col("id")).alias("k"), F.col("id").alias("row"))
+    for fraction in (0.2, 0.5, 0.9):
+        flagged = split.exact_flag(df, "k", fraction, 5).cache()
+        held = flagged.filter("_tf_held").select("k", "row").collect()
+        assert len(held) == math.ceil(fraction * n)
+        # Every held (hash, id) precedes every kept one, copies being interchangeable.
+        hk = flagged.select("k", split.hash_u32("k", 5).alias("h"), "_tf_held").collect()
+        held_keys = [(r["h"], r["k"]) for r in hk if r["_tf_held"]]
+        kept_keys = [(r["h"], r["k"]) for r in hk if not r["_tf_held"]]
+        if held_keys and kept_keys:
+            assert max(held_keys) <= min(kept_keys)
+        flagged.unpersist()
