@@ -140,25 +140,31 @@ def _exact_flag_wide(base: DataFrame, boundary: DataFrame, bound_side: DataFrame
                                                          F.first("_tf_need").alias("_tf_need"))
     run = Window.partitionBy(*keys).orderBy("_tf_h", id_col).rowsBetween(Window.unboundedPreceding, 0)
     groups = groups.withColumn("_tf_gcum", F.sum("_tf_c").over(run))
-    full = groups.filter(F.col("_tf_gcum") <= F.col("_tf_need")).select(*keys, "_tf_h", id_col,
-                                                                          F.lit(True).alias("_tf_full"))
-    part = (groups.filter((F.col("_tf_gcum") > F.col("_tf_need"))
+    # Per stratum the group where the needed count is reached; every group
+    # before it in (hash, ID) order is taken whole, so no join on the ID is needed.
+    last = (groups.filter((F.col("_tf_gcum") >= F.col("_tf_need"))
                           & (F.col("_tf_gcum") - F.col("_tf_c") < F.col("_tf_need")))
-            .select(*keys, "_tf_h", id_col, (F.col("_tf_need") - (F.col("_tf_gcum") - F.col("_tf_c"))).alias("_tf_take"))
-            .collect())  # at most one straddling group per stratum
+            .select(*keys, "_tf_h", id_col, "_tf_c",
+                    (F.col("_tf_need") - (F.col("_tf_gcum") - F.col("_tf_c"))).alias("_tf_take"))
+            .collect())  # at most one row per stratum
     positioned = base.withColumn("_tf_pid", F.spark_partition_id()).withColumn("_tf_mid", F.monotonically_increasing_id())
-    # ``full`` holds one row per distinct ID of the boundary buckets: no proven
-    # bound, so the join strategy is left to AQE's runtime size check.
-    out = positioned.join(bound_side, keys, "left").join(full, [*keys, "_tf_h", id_col], "left")
-    held = F.coalesce(F.col("_tf_b") < F.col("_tf_bb"), F.lit(False)) | F.col("_tf_full").isNotNull()
-    for r in part:
-        in_group = (F.col("_tf_h") == F.lit(r["_tf_h"])) & (F.col(id_col) == F.lit(r[id_col]))
+    out = positioned.join(bound_side, keys, "left")
+    held = F.coalesce(F.col("_tf_b") < F.col("_tf_bb"), F.lit(False))
+    for r in last:
+        h_s, id_s = F.lit(r["_tf_h"]), F.lit(r[id_col])
+        in_stratum = F.col("_tf_b") == F.col("_tf_bb")
         for k in keys:
-            in_group = in_group & (F.col(k) == F.lit(r[k]))
+            in_stratum = in_stratum & (F.col(k) == F.lit(r[k]))
+        before = (F.col("_tf_h") < h_s) | ((F.col("_tf_h") == h_s) & (F.col(id_col) < id_s))
+        in_group = in_stratum & (F.col("_tf_h") == h_s) & (F.col(id_col) == id_s)
+        held = held | (in_stratum & before)
+        if r["_tf_take"] >= r["_tf_c"]:
+            held = held | in_group
+            continue
         # Copies in input order: whole partitions first, then the first copies
         # of the partition where the needed count is reached.
-        counts = sorted((x["_tf_pid"], x["n"]) for x in positioned.filter(in_group).groupBy("_tf_pid")
-                        .agg(F.count(F.lit(1)).alias("n")).collect())  # one row per input partition
+        counts = sorted((x["_tf_pid"], x["n"]) for x in positioned.join(bound_side, keys).filter(in_group)
+                        .groupBy("_tf_pid").agg(F.count(F.lit(1)).alias("n")).collect())  # one row per partition
         need, last_pid, rest = r["_tf_take"], None, 0
         for pid, n in counts:
             if need <= n:
@@ -166,13 +172,13 @@ def _exact_flag_wide(base: DataFrame, boundary: DataFrame, bound_side: DataFrame
                 break
             need -= n
         # The straddling partition's cut: a sort bounded by one input partition.
-        cut = (positioned.filter(in_group & (F.col("_tf_pid") == last_pid)).select("_tf_mid")
-               .orderBy("_tf_mid").limit(rest).agg(F.max("_tf_mid")).first()[0])
+        cut = (positioned.join(bound_side, keys).filter(in_group & (F.col("_tf_pid") == last_pid))
+               .select("_tf_mid").orderBy("_tf_mid").limit(rest).agg(F.max("_tf_mid")).first()[0])
         held = held | (in_group & ((F.col("_tf_pid") < F.lit(last_pid))
                                    | ((F.col("_tf_pid") == F.lit(last_pid)) & (F.col("_tf_mid") <= F.lit(cut)))))
     out = out.withColumn(flag, held)
     hist.unpersist()
-    drop = ["_tf_h", "_tf_b", "_tf_bb", "_tf_bn", "_tf_need", "_tf_full", "_tf_pid", "_tf_mid"]
+    drop = ["_tf_h", "_tf_b", "_tf_bb", "_tf_bn", "_tf_need", "_tf_pid", "_tf_mid"]
     return out.drop(*drop, *([] if strata else ["_tf_all"]))
 
 

@@ -99,3 +99,18 @@ def test_exact_flag_hot_duplicated_id(spark, monkeypatch):
         if held_keys and kept_keys:
             assert max(held_keys) <= min(kept_keys)
         flagged.unpersist()
+
+
+def test_exact_flag_wide_path_matches_sort(spark, monkeypatch):
+    """The large-boundary path agrees with sorting each stratum (unique IDs)."""
+    import math
+
+    monkeypatch.setattr(split, "EDGE_COLLECT_ROWS", 0)
+    df = spark.range(0, 2500, numPartitions=3).select(F.col("id").alias("k"), (F.col("id") % 3).alias("s"))
+    got = {r["k"] for r in split.exact_flag(df, "k", 0.35, 11, ["s"]).filter("_tf_held").select("k").collect()}
+    rows = df.select("k", "s", split.hash_u32("k", 11).alias("h")).collect()
+    want = set()
+    for s in range(3):
+        members = sorted((r["h"], r["k"]) for r in rows if r["s"] == s)
+        want |= {k for _, k in members[:math.ceil(0.35 * len(members))]}
+    assert got == want
