@@ -119,3 +119,22 @@ def test_read_table_formats(spark, reg):
         opts = {"header": "true"} if fmt == "csv" else {}
         back = layers.read_table(spark, path, schema=schema, fmt=fmt, **opts)
         assert sorted(back.collect()) == sorted(small.collect())
+
+
+def test_catalog_layer_with_comment(spark, reg):
+    import uuid
+
+    from tablefit.session import scratch_path
+
+    db = f"tf_test_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'catalog')}'")
+    try:
+        name = f"{db}.bronze"
+        layers.write_layer(reg.limit(100), name, comment="Raw regression rows, unscaled")
+        back = layers.read_layer(spark, name)
+        assert back.count() == 100 and back.columns == reg.columns
+        assert spark.catalog.getTable(name).description == "Raw regression rows, unscaled"
+        layers.write_layer(reg.limit(10), name, comment="Raw regression rows, unscaled")  # overwrite
+        assert layers.read_layer(spark, name).count() == 10
+    finally:
+        spark.sql(f"DROP DATABASE {db} CASCADE")
