@@ -30,10 +30,17 @@ def _canon(df):
     return df.sort_values(list(df.columns)).reset_index(drop=True)
 
 
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
-    got = _canon(E.queries()[name](spark, SF_SMALL).toPandas())
-    want = _canon(con.execute(E.oracle_sql()[name]).df())
+    sdf = E.queries()[name](spark, SF_SMALL)
+    rel = con.execute(E.oracle_sql()[name])
+    sql_types = {d[0]: str(d[1]) for d in rel.description}
+    assert {f.name: SQL_TYPES.get(f.dataType.simpleString()) for f in sdf.schema.fields} == sql_types
+    got = _canon(sdf.toPandas())
+    want = _canon(rel.df())
     assert list(got.columns) == list(want.columns)
     assert len(got) == len(want)
     pd.testing.assert_frame_equal(got, want, check_dtype=False, check_exact=True)
