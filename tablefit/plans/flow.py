@@ -94,13 +94,18 @@ def calibration_job(spark: SparkSession, store: ModelStore, model_name: str, sco
 
 
 def run_all(spark: SparkSession, raw: DataFrame, spec: FeatureSpec, root: str, model_name: str,
-            n_trials: int = 15, seed: int = 42, overrides: dict | None = None) -> dict:
+            n_trials: int = 15, seed: int = 42, overrides: dict | None = None, parallel: bool = True) -> dict:
     """The whole graph; ``overrides`` maps model type to pinned parameters."""
     store = ModelStore(spark, f"{root}/registry")
     paths = medallion(raw, spec, root)
     paths.update(split_job(spark, paths["gold"], spec, root, 0.5, seed))
-    results = [train_job(spark, paths["train_set"], spec, mt, store, n_trials, seed, (overrides or {}).get(mt))
-               for mt in MODEL_TYPES]
+    # The four candidate searches share one split and run side by side; the
+    # run log is appended afterwards (one writer at a time per table).
+    train = layers.read_layer(spark, paths["train_set"])
+    checks.validate_train_scoring(train, spec, "Train set")
+    results = search.run_searches(train, spec, list(MODEL_TYPES), n_trials, seed, overrides=overrides,
+                                  data_tag=paths["train_set"], parallel=parallel)
+    store.log_search(results)
     aliases = select_and_register(store, model_name, [r.run_id for r in results])
     metrics = batch_score_job(spark, store, model_name, paths["scoring_set"], f"{root}/scored_output", spec)
     return {"paths": paths, "results": results, "aliases": aliases, "metrics": metrics, "store": store}
