@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import pathlib
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +16,23 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, once per context: the functions that
+    run in their Python workers import it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tablefit_shipped", False):
+        return
+    root = pathlib.Path(__file__).resolve().parents[1]
+    at = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tablefit-code-")), "tablefit_code.zip")
+    with zipfile.ZipFile(at, "w") as z:
+        for f in root.rglob("*.py"):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(at)
+    sc._tablefit_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -33,4 +54,4 @@ def keep_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["LOWER", "UPPER", "keep_table", "lower_ascii", "scratch_path", "shared_dir", "table", "text_or_empty"]
+__all__ = ["LOWER", "UPPER", "keep_table", "lower_ascii", "scratch_path", "shared_dir", "ship", "table", "text_or_empty"]

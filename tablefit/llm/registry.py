@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from tablefit.llm import exact_dedup, shard
+from tablefit.llm import exact_dedup, packing, quality, shard, token_counts
 
 QUERIES = {
+    "op1_packing": packing.query,
+    "op2_token_counts": token_counts.query,
     "op7_shards": shard.query,
     "op8_exact_dedup": exact_dedup.query,
+    "op10_quality": quality.query,
 }
 ORACLE = {
     "op8_exact_dedup": exact_dedup.ORACLE,
