@@ -54,4 +54,17 @@ def keep_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["LOWER", "UPPER", "keep_table", "lower_ascii", "scratch_path", "shared_dir", "ship", "table", "text_or_empty"]
+def text_key(text_col: str | Column) -> Column:
+    """With the ID, tells rows of a table apart that share an ID."""
+    return F.xxhash64(text_or_empty(text_col).cast("binary"))
+
+
+def drop_rows(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the rows whose (ID, text key) is in ``gone(id, key)``."""
+    gone = gone.select(F.col("id").alias("__id"), F.col("key").alias("__gone")).distinct()
+    return (docs.withColumn("__key", text_key(text_col))
+            .join(gone, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__gone")), "left_anti")
+            .drop("__key"))
+
+
+__all__ = ["LOWER", "UPPER", "drop_rows", "keep_table", "lower_ascii", "scratch_path", "shared_dir", "ship", "table", "text_key", "text_or_empty"]

@@ -18,21 +18,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablefit.llm.common import keep_table, lower_ascii, text_or_empty
+from tablefit.llm.common import drop_rows, keep_table, lower_ascii, text_key, text_or_empty
 
 PREFIX_CHARS = 64
 
 
 def narrow_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     norm = lower_ascii(text_or_empty(text_col))
-    return (docs.select(F.col(id_col).alias("id"), norm.alias("norm"))
+    return (docs.select(F.col(id_col).alias("id"), norm.alias("norm"), text_key(text_col).alias("key"))
             .select("id", F.octet_length("norm").alias("len"),
                     F.xxhash64(F.substring("norm", 1, PREFIX_CHARS)).alias("prefix"),
-                    F.sha2(F.col("norm").cast("binary"), 256).alias("sha")))
+                    F.sha2(F.col("norm").cast("binary"), 256).alias("sha"), "key"))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``id, keep_id, group_size, kept, sha``."""
+    """One row per input row: ``id, key, keep_id, group_size, kept, sha``."""
     keys = keep_table(narrow_keys(docs, id_col, text_col), "exact-keys")
     # Level 1: lengths. Level 2: prefixes, among rows whose length repeats. The
     # prefix counts are taken once and rolled up to the lengths.
@@ -45,7 +45,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
             .filter("group_size > 1"))
     return (keys.join(full, ["len", "prefix", "sha"], "left")
-            .select("id",
+            .select("id", "key",
                     F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
                     F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),
                     "sha")
@@ -54,8 +54,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all columns kept (one per group of equal texts)."""
-    dropped = exact_groups(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("id").alias("__gone")).distinct()
-    return docs.join(dropped, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+    groups = keep_table(exact_groups(docs, id_col, text_col), "exact-groups")
+    kept = groups.filter("kept")
+    # One ID may stand in its group more than once, the texts equal but for case or altogether.
+    twice = (kept.groupBy("sha").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("low")).filter("n > 1"))
+    gone = groups.filter(~F.col("kept")).select("id", "key")
+    if twice.isEmpty():
+        return drop_rows(docs, gone, id_col, text_col)
+    other = kept.join(twice, "sha").filter("key != low").select("id", "key")
+    return drop_rows(docs, gone.union(other), id_col, text_col).withColumn(
+        "__key", text_key(text_col)).dropDuplicates([id_col, "__key"]).drop("__key")
 
 
 ORACLE = f"""

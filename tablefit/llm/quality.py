@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablefit.llm.common import keep_table, table, text_or_empty
+from tablefit.llm.common import drop_rows, keep_table, table, text_key, text_or_empty
 
 FEATURES = ("words", "upper", "symbols", "repeats", "types", "pipes", "word_chars", "line_copies", "digits", "stops")
 D = len(FEATURES)
@@ -58,8 +58,8 @@ def text_statistics(text: str) -> list[float]:
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, x`` (array of D doubles), one row per input row."""
-    src = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    """``id, key, x`` (array of D doubles), one row per input row."""
+    src = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), text_key(text_col).alias("key"))
     id_type = src.schema["id"].dataType.simpleString()
 
     def run(batches):
@@ -67,9 +67,9 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
         for b in batches:
             x = [text_statistics(t.as_py()) for t in b.column(1)]
-            yield pa.record_batch([b.column(0), pa.array(x, pa.list_(pa.float64()))], ["id", "x"])
+            yield pa.record_batch([b.column(0), b.column(2), pa.array(x, pa.list_(pa.float64()))], ["id", "key", "x"])
 
-    return src.mapInArrow(run, f"id {id_type}, x array<double>")
+    return src.mapInArrow(run, f"id {id_type}, key long, x array<double>")
 
 
 def held_out(id_col: Column) -> Column:
@@ -135,20 +135,18 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
 
 
 def scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, held_out, score, predicted``, one row per input row."""
+    """``id, key, held_out, score, predicted``, one row per input row."""
     stats = keep_table(statistics(docs, id_col, text_col), "quality-stats")
     model = fit(stats, labels, "doc_id")
-    return (stats.select("id", held_out(F.col("id")).alias("held_out"), model.score().alias("score"))
+    return (stats.select("id", "key", held_out(F.col("id")).alias("held_out"), model.score().alias("score"))
             .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, all columns kept."""
-    bad = (scores(docs, labels, id_col, text_col).filter("predicted = 0")
-           .select(F.col("id").alias("__gone")).distinct())
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+    return drop_rows(docs, scores(docs, labels, id_col, text_col).filter("predicted = 0"), id_col, text_col)
 
 
 def query(spark, sf_dir) -> DataFrame:
     return (scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-            .withColumnRenamed("id", "doc_id"))
+            .select(F.col("id").alias("doc_id"), "held_out", "score", "predicted"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablefit.llm import exact_dedup, jaccard_join, packing, quality, shard, token_counts
+from tablefit.llm import decontaminate, exact_dedup, jaccard_join, packing, quality, shard, token_counts
 
 QUERIES = {
     "op1_packing": packing.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_jaccard_join": jaccard_join.query,
     "op7_shards": shard.query,
     "op8_exact_dedup": exact_dedup.query,
+    "op9_decontamination": decontaminate.query,
     "op10_quality": quality.query,
 }
 ORACLE = {
