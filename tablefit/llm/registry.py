@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tablefit.llm import decontaminate, exact_dedup, jaccard_join, packing, quality, shard, token_counts
+from tablefit.llm import decontaminate, exact_dedup, jaccard_join, packing, quality, shard, token_counts, warc
 
 QUERIES = {
     "op1_packing": packing.query,
     "op2_token_counts": token_counts.query,
     "op3_jaccard_join": jaccard_join.query,
+    "op6_warc": warc.query,
     "op7_shards": shard.query,
     "op8_exact_dedup": exact_dedup.query,
     "op9_decontamination": decontaminate.query,
