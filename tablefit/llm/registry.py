@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tablefit.llm import decontaminate, exact_dedup, jaccard_join, licenses, packing, quality, shard, token_counts, warc
+from tablefit.llm import decontaminate, exact_dedup, jaccard_join, licenses, packing, quality, shard, suffix_dedup, token_counts, warc
 
 QUERIES = {
     "op1_packing": packing.query,
     "op2_token_counts": token_counts.query,
     "op3_jaccard_join": jaccard_join.query,
+    "op4_suffix_dedup": suffix_dedup.query,
     "op5_license_scan": licenses.query,
     "op6_warc": warc.query,
     "op7_shards": shard.query,
@@ -16,6 +17,7 @@ QUERIES = {
     "op10_quality": quality.query,
 }
 ORACLE = {
+    "op4_suffix_dedup": suffix_dedup.query,
     "op5_license_scan": licenses.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
 }
