@@ -9,25 +9,29 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of a small side that may be broadcast (bounded by strata x hash buckets).
-BROADCAST_ROWS = 1_000_000
+from tablefit.operators.ordered import prefix_sums
+from tablefit.session import materialize
+
 # The exact selection first histograms the top HIST_BITS of the 32-bit hash.
 HIST_BITS = 20
 COARSE_BITS = 10
-# Boundary-bucket rows ranked on the driver when there are at most this many.
-EDGE_COLLECT_ROWS = 100_000
+# Copies of one row that a single row is expanded to at a time.
+COPIES = 1000
 
 
 def hash_u32(id_col: str | Column, seed: int = 42) -> Column:
     """Seeded 32-bit hash of the ID: first 8 hex digits of md5('<seed>:<id>').
 
-    Written with md5 so SQL engines other than Spark compute the same value.
+    Written with md5 so SQL engines other than Spark compute the same value. A
+    null ID hashes like the word ``null``: it has a side like any other.
     """
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    hexed = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), c.cast("string"))), 1, 8)
+    hexed = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(c.cast("string"), F.lit("null")))), 1, 8)
     return F.conv(hexed, 16, 10).cast("bigint")
 
 
@@ -53,133 +57,77 @@ def split_train_scoring(df: DataFrame, id_col: str, train_fraction: float = 0.5,
 
 
 # --------------------------------------------------------------------------- X2, O1
+def _same(left: str, right: str, keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
+
+def _boundaries(base: DataFrame, keys: list[str], fraction: float) -> DataFrame:
+    """Per stratum the hash bucket ``_tf_bb`` in which the wanted number is
+    reached, and how many of its rows (``_tf_need``) still belong to it.
+
+    A coarse running total (2^10 buckets per stratum) and a fine one inside the
+    boundary coarse bucket: no window sees more than 1024 rows per stratum.
+    """
+    shift = HIST_BITS - COARSE_BITS
+    hist = base.groupBy(*keys, "_tf_b").agg(F.count(F.lit(1)).alias("_tf_n"))
+    coarse = hist.groupBy(*keys, F.shiftright("_tf_b", shift).alias("_tf_c")).agg(F.sum("_tf_n").alias("_tf_cn"))
+    run = Window.partitionBy(*keys).orderBy("_tf_c").rowsBetween(Window.unboundedPreceding, 0)
+    wanted = F.ceil(F.sum("_tf_cn").over(Window.partitionBy(*keys)).cast("decimal(38,0)")
+                    * F.lit(Decimal(repr(float(fraction))))).cast("bigint")
+    coarse = coarse.withColumn("_tf_ccum", F.sum("_tf_cn").over(run)).withColumn("_tf_k", wanted)
+    coarse = (coarse.filter("_tf_ccum >= _tf_k AND _tf_ccum - _tf_cn < _tf_k")
+              .withColumn("_tf_cneed", F.expr("_tf_k - (_tf_ccum - _tf_cn)")))
+    fine = (hist.alias("h").join(coarse.alias("c"), _same("h", "c", keys)
+                                 & (F.shiftright("h._tf_b", shift) == F.col("c._tf_c")))
+            .select("h.*", "c._tf_cneed"))
+    run = Window.partitionBy(*keys).orderBy("_tf_b").rowsBetween(Window.unboundedPreceding, 0)
+    return (fine.withColumn("_tf_cum", F.sum("_tf_n").over(run))
+            .filter("_tf_cum >= _tf_cneed AND _tf_cum - _tf_n < _tf_cneed")
+            .select(*keys, F.col("_tf_b").alias("_tf_bb"), F.expr("_tf_cneed - (_tf_cum - _tf_n)").alias("_tf_need")))
+
+
 def exact_flag(df: DataFrame, id_col: str, fraction: float, seed: int = 42,
                strata: list[str] | None = None, flag: str = "_tf_held") -> DataFrame:
-    """Flag exactly ``ceil(fraction * n_s)`` rows per stratum: the lowest (hash, ID).
-
-    No global sort: one aggregate over the rows builds a histogram of the top
-    ``HIST_BITS`` of the hash (at most strata x 2^20 rows); a coarse running
-    total (2^10 buckets per stratum) and a fine one inside the boundary coarse
-    bucket find each stratum's boundary bucket, so no window sees more than
-    1024 rows per stratum. Only the boundary bucket's rows (about n_s / 2^20)
-    are ranked; ties on the hash are broken by the ID. Copies of one ID are
-    interchangeable: when a boundary bucket is too large for the driver (for
-    example a hot ID), copies are picked by input position, never by one task.
+    """Flag exactly ``ceil(fraction * n_s)`` rows per stratum: the lowest by
+    (hash, ID, other columns).
+
+    No global sort: a histogram of the top ``HIST_BITS`` of the hash finds each
+    stratum's boundary bucket; rows below it are in, rows above it are out. The
+    rows of the boundary buckets (about n_s / 2^20, or a hot ID) are folded to
+    distinct rows with a count, ordered by a distributed running total, and cut
+    where the number is reached; copies of a row are interchangeable, so they
+    are written out again from their count. Null IDs and null strata are values
+    like any other. Columns must be of types that can be grouped.
     """
     strata = list(strata or [])
     keys = strata or ["_tf_all"]
+    cols = list(df.columns)
     base = df.withColumn("_tf_h", hash_u32(id_col, seed))
     if not strata:
         base = base.withColumn("_tf_all", F.lit(0))
-    base = base.withColumn("_tf_b", F.shiftright(F.col("_tf_h"), 32 - HIST_BITS))
-
-    # One pass over the rows: the fine histogram (at most strata x 2^20 rows).
-    hist = base.groupBy(*keys, "_tf_b").agg(F.count(F.lit(1)).alias("_tf_n")).cache()
-    # Coarse buckets from the histogram: at most 2^COARSE_BITS rows per stratum,
-    # so each stratum's running total is a small window.
-    shift = HIST_BITS - COARSE_BITS
-    coarse = (hist.groupBy(*keys, F.shiftright("_tf_b", shift).alias("_tf_c"))
-              .agg(F.sum("_tf_n").alias("_tf_cn")))
-    run_c = Window.partitionBy(*keys).orderBy("_tf_c").rowsBetween(Window.unboundedPreceding, 0)
-    coarse = (coarse.withColumn("_tf_ccum", F.sum("_tf_cn").over(run_c))
-              .withColumn("_tf_k", F.ceil(F.sum("_tf_cn").over(Window.partitionBy(*keys)).cast("decimal(38,0)")
-                                          * F.lit(Decimal(repr(float(fraction))))).cast("bigint")))
-    cbound = (coarse.filter((F.col("_tf_ccum") >= F.col("_tf_k"))
-                            & (F.col("_tf_ccum") - F.col("_tf_cn") < F.col("_tf_k")))
-              .select(*keys, F.col("_tf_c").alias("_tf_cb"),
-                      (F.col("_tf_k") - (F.col("_tf_ccum") - F.col("_tf_cn"))).alias("_tf_cneed")))
-    # Fine buckets inside each stratum's boundary coarse bucket (2^(20-10) rows at most).
-    fine = hist.join(cbound, keys).filter(F.shiftright("_tf_b", shift) == F.col("_tf_cb"))
-    run_f = Window.partitionBy(*keys).orderBy("_tf_b").rowsBetween(Window.unboundedPreceding, 0)
-    fine = fine.withColumn("_tf_cum", F.sum("_tf_n").over(run_f))
-    bound = (fine.filter((F.col("_tf_cum") >= F.col("_tf_cneed"))
-                         & (F.col("_tf_cum") - F.col("_tf_n") < F.col("_tf_cneed")))
-             .select(*keys, F.col("_tf_b").alias("_tf_bb"), F.col("_tf_n").alias("_tf_bn"),
-                     (F.col("_tf_cneed") - (F.col("_tf_cum") - F.col("_tf_n"))).alias("_tf_need")))
-    # One row per stratum at most: collected once (the histogram job), it is
-    # broadcast and also tells how many rows the boundary buckets hold.
-    bound_rows = bound.limit(BROADCAST_ROWS + 1).collect()
-    if len(bound_rows) <= BROADCAST_ROWS:
-        bound_side = F.broadcast(df.sparkSession.createDataFrame(bound_rows, bound.schema))
-        n_edge = sum(r["_tf_bn"] for r in bound_rows)
-    else:
-        bound_side, n_edge = bound, None
-
-    boundary = base.join(bound_side, keys).filter(F.col("_tf_b") == F.col("_tf_bb"))
-    if n_edge is not None and n_edge <= EDGE_COLLECT_ROWS:
-        # The boundary buckets are small and their size is known: rank them here.
-        rows = boundary.select(*keys, "_tf_h", id_col, "_tf_need").collect()
-        groups: dict = {}
-        for r in rows:
-            groups.setdefault(tuple(r[k] for k in keys), []).append(r)
-        chosen = []
-        for g in groups.values():
-            g.sort(key=lambda r: (r["_tf_h"], r[id_col]))
-            chosen += [(r[id_col], True) for r in g[:g[0]["_tf_need"]]]
-        id_type = base.schema[id_col].dataType.simpleString()
-        edge_side = F.broadcast(df.sparkSession.createDataFrame(chosen, f"`{id_col}` {id_type}, _tf_edge boolean"))
-    else:
-        return _exact_flag_wide(base, boundary, bound_side, keys, id_col, flag, strata, hist)
-
-    hist.unpersist()
-    out = (base.join(bound_side, keys, "left").join(edge_side, id_col, "left")
-           .withColumn(flag, F.coalesce(F.col("_tf_b") < F.col("_tf_bb"), F.lit(False))
-                       | F.col("_tf_edge").isNotNull()))
-    drop = ["_tf_h", "_tf_b", "_tf_bb", "_tf_bn", "_tf_need", "_tf_edge"] + ([] if strata else ["_tf_all"])
-    return out.drop(*drop)
-
-
-def _exact_flag_wide(base: DataFrame, boundary: DataFrame, bound_side: DataFrame, keys: list[str], id_col: str,
-                     flag: str, strata: list[str], hist: DataFrame) -> DataFrame:
-    """Boundary buckets too large to rank on the driver (for example many
-    copies of one ID). Copies are first folded per (stratum, hash, ID) by a
-    partial aggregate, the few resulting groups are ranked per stratum, and the
-    copies needed from the one straddling group are picked by input position
-    from per-partition counts: no task ever holds a whole hot group."""
-    groups = boundary.groupBy(*keys, "_tf_h", id_col).agg(F.count(F.lit(1)).alias("_tf_c"),
-                                                         F.first("_tf_need").alias("_tf_need"))
-    run = Window.partitionBy(*keys).orderBy("_tf_h", id_col).rowsBetween(Window.unboundedPreceding, 0)
-    groups = groups.withColumn("_tf_gcum", F.sum("_tf_c").over(run))
-    # Per stratum the group where the needed count is reached; every group
-    # before it in (hash, ID) order is taken whole, so no join on the ID is needed.
-    last = (groups.filter((F.col("_tf_gcum") >= F.col("_tf_need"))
-                          & (F.col("_tf_gcum") - F.col("_tf_c") < F.col("_tf_need")))
-            .select(*keys, "_tf_h", id_col, "_tf_c",
-                    (F.col("_tf_need") - (F.col("_tf_gcum") - F.col("_tf_c"))).alias("_tf_take"))
-            .collect())  # at most one row per stratum
-    positioned = base.withColumn("_tf_pid", F.spark_partition_id()).withColumn("_tf_mid", F.monotonically_increasing_id())
-    out = positioned.join(bound_side, keys, "left")
-    held = F.coalesce(F.col("_tf_b") < F.col("_tf_bb"), F.lit(False))
-    for r in last:
-        h_s, id_s = F.lit(r["_tf_h"]), F.lit(r[id_col])
-        in_stratum = F.col("_tf_b") == F.col("_tf_bb")
-        for k in keys:
-            in_stratum = in_stratum & (F.col(k) == F.lit(r[k]))
-        before = (F.col("_tf_h") < h_s) | ((F.col("_tf_h") == h_s) & (F.col(id_col) < id_s))
-        in_group = in_stratum & (F.col("_tf_h") == h_s) & (F.col(id_col) == id_s)
-        held = held | (in_stratum & before)
-        if r["_tf_take"] >= r["_tf_c"]:
-            held = held | in_group
-            continue
-        # Copies in input order: whole partitions first, then the first copies
-        # of the partition where the needed count is reached.
-        counts = sorted((x["_tf_pid"], x["n"]) for x in positioned.join(bound_side, keys).filter(in_group)
-                        .groupBy("_tf_pid").agg(F.count(F.lit(1)).alias("n")).collect())  # one row per partition
-        need, last_pid, rest = r["_tf_take"], None, 0
-        for pid, n in counts:
-            if need <= n:
-                last_pid, rest = pid, need
-                break
-            need -= n
-        # The straddling partition's cut: a sort bounded by one input partition.
-        cut = (positioned.join(bound_side, keys).filter(in_group & (F.col("_tf_pid") == last_pid))
-               .select("_tf_mid").orderBy("_tf_mid").limit(rest).agg(F.max("_tf_mid")).first()[0])
-        held = held | (in_group & ((F.col("_tf_pid") < F.lit(last_pid))
-                                   | ((F.col("_tf_pid") == F.lit(last_pid)) & (F.col("_tf_mid") <= F.lit(cut)))))
-    out = out.withColumn(flag, held)
-    hist.unpersist()
-    drop = ["_tf_h", "_tf_b", "_tf_bb", "_tf_bn", "_tf_need", "_tf_pid", "_tf_mid"]
-    return out.drop(*drop, *([] if strata else ["_tf_all"]))
+    base = base.withColumn("_tf_b", F.shiftright(F.col("_tf_h"), 32 - HIST_BITS).cast("bigint"))
+    bound = materialize(_boundaries(base, keys, fraction))  # a row per stratum
+    placed = (base.alias("r").join(bound.alias("b"), _same("r", "b", keys), "left")
+              .select("r.*", "b._tf_bb", "b._tf_need"))
+    clear = placed.filter("_tf_bb IS NULL OR _tf_b != _tf_bb")
+    clear = clear.select(*cols, F.coalesce(F.expr("_tf_b < _tf_bb"), F.lit(False)).alias(flag))
+
+    order = [*keys, "_tf_h", id_col, *[c for c in cols if c != id_col and c not in keys]]
+    folded = (placed.filter("_tf_b = _tf_bb").groupBy(*order)
+              .agg(F.count(F.lit(1)).alias("_tf_c"), F.first("_tf_need").alias("_tf_need")))
+    ranked = prefix_sums(folded, list(dict.fromkeys(order)), ["_tf_c"])
+    start = ranked.groupBy(*keys).agg(F.min("_tf_c_before").alias("_tf_start"))
+    ranked = (ranked.alias("r").join(start.alias("s"), _same("r", "s", keys))
+              .select("r.*", (F.col("r._tf_c_before") - F.col("s._tf_start")).alias("_tf_before")))
+    taken = F.greatest(F.lit(0), F.least(F.col("_tf_c"), F.col("_tf_need") - F.col("_tf_before"))).cast("bigint")
+    sides = ranked.withColumn("_tf_in", taken).select(*cols, F.explode(F.array(
+        F.struct(F.lit(True).alias("held"), F.col("_tf_in").alias("n")),
+        F.struct(F.lit(False).alias("held"), (F.col("_tf_c") - F.col("_tf_in")).alias("n")))).alias("_tf_side"))
+    # Copies come back in two steps, so that no array grows with their number squared or all at once.
+    n = F.col("_tf_side.n")
+    chunks = sides.filter(n > 0).withColumn("_tf_at", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1, F.lit(COPIES).cast("bigint"))))
+    copies = chunks.withColumn("_tf_one", F.explode(F.sequence(F.lit(1).cast("bigint"), F.least(F.lit(COPIES), n - F.col("_tf_at")))))
+    return clear.unionByName(copies.select(*cols, F.col("_tf_side.held").alias(flag)))
 
 
 def exact_holdout(df: DataFrame, id_col: str, fraction: float = 0.2, seed: int = 42,

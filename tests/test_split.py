@@ -1,7 +1,10 @@
 """Splits: disjoint + covering, partition independence, exact sizes vs brute force."""
 
 import math
+from collections import Counter
+from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tablefit.operators import checks, split
@@ -11,19 +14,24 @@ def _ids(df, col="id"):
     return {r[0] for r in df.select(col).collect()}
 
 
-def test_split_disjoint_and_covering(spark):
-    df = spark.createDataFrame([(i, 2 * i) for i in range(100)], "id long, val long")
-    tr, sc = split.split_train_scoring(df, "id", 0.5, 42)
-    a, b = _ids(tr), _ids(sc)
-    assert not (a & b) and (a | b) == set(range(100))
-    assert checks.expect_split_integrity(df, tr, sc, "id").first()["passed"]
+def _orders_like(spark, n=237):
+    """Unequal parts, text payload, IDs not from zero."""
+    return spark.range(1000, 1000 + 3 * n, 3).select(F.col("id").alias("k"), F.md5(F.col("id").cast("string")).alias("payload"))
 
 
-def test_random_method_disjoint_and_covering(spark):
-    df = spark.createDataFrame([(i, 2 * i) for i in range(100)], "id long, val long")
-    tr, sc = split.split_train_scoring(df, "id", 0.5, 42, method="random")
-    a, b = _ids(tr), _ids(sc)
-    assert not (a & b) and (a | b) == set(range(100))
+@pytest.mark.parametrize("method", ["hash", "random"])
+def test_both_sides_together_are_the_table(spark, method):
+    df = _orders_like(spark)
+    tr, sc = split.split_train_scoring(df, "k", 0.3, 9, method=method)
+    assert tr.intersect(sc).isEmpty() and tr.union(sc).exceptAll(df).isEmpty() and tr.count() + sc.count() == df.count()
+    assert checks.expect_split_integrity(df, tr, sc, "k").first()["passed"]
+
+
+def test_a_null_id_has_a_side(spark):
+    df = spark.createDataFrame([(None,), (4,), (None,), (9,), (12,)], "k long")
+    tr, sc = split.split_train_scoring(df, "k", 0.5)
+    assert tr.count() + sc.count() == 5
+    assert {tr.filter("k IS NULL").count(), sc.filter("k IS NULL").count()} == {0, 2}
 
 
 def test_hash_split_is_partition_independent(spark, reg):
@@ -80,37 +88,31 @@ def test_exact_flag_equals_sorting_each_stratum(spark, n, fraction, seed, n_stra
     assert got == want
 
 
-def test_exact_flag_hot_duplicated_id(spark, monkeypatch):
-    """A third of the rows share one ID; the wide path (forced) still holds exactly ceil(f n)."""
-    import math
-
-    monkeypatch.setattr(split, "EDGE_COLLECT_ROWS", 0)
-    n = 3000
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.one_of(st.none(), st.sampled_from(["a", "b"])),
+                               st.integers(0, 2)), max_size=60),
+       fraction=st.sampled_from([0.0, 0.1, 0.3, 0.5, 0.7, 1.0]), seed=st.integers(0, 99))
+def test_exact_flag_with_repeats_nulls_and_null_strata(spark, rows, fraction, seed):
+    df = spark.createDataFrame(rows, "k long, s string, v int").repartition(3)
+    got = split.exact_flag(df, "k", fraction, seed, ["s"]).withColumn("h", split.hash_u32("k", seed)).collect()
+    assert Counter((r.k, r.s, r.v) for r in got) == Counter(rows)
+    for s in {r[1] for r in rows}:
+        key = lambda r: (r.h, r.k is not None, r.k or 0, r.v)
+        held = sorted(key(r) for r in got if r.s == s and r._tf_held)
+        left = sorted(key(r) for r in got if r.s == s and not r._tf_held)
+        assert len(held) == math.ceil(Decimal(repr(fraction)) * (len(held) + len(left)))
+        assert not held or not left or held[-1] <= left[0]
+
+
+def test_exact_flag_hot_id(spark):
+    """A third of the rows share one ID, a sixth are copies of one row."""
+    n = 6000
     df = spark.range(0, n, numPartitions=4).select(
-        F.when(F.col("id") % 3 == 0, F.lit(123456)).otherwise(F.col("id")).alias("k"), F.col("id").alias("row"))
+        F.when(F.col("id") % 3 == 0, F.lit(123456)).otherwise(F.col("id")).alias("k"),
+        F.when(F.col("id") % 6 == 0, F.lit(-1)).otherwise(F.col("id")).alias("row")).cache()
     for fraction in (0.2, 0.5, 0.9):
-        flagged = split.exact_flag(df, "k", fraction, 5).cache()
-        held = flagged.filter("_tf_held").select("k", "row").collect()
+        rows = split.exact_flag(df, "k", fraction, 5).withColumn("h", split.hash_u32("k", 5)).collect()
+        assert Counter((r.k, r.row) for r in rows) == Counter((r.k, r.row) for r in df.collect())
+        held = [(r.h, r.k, r.row) for r in rows if r._tf_held]
         assert len(held) == math.ceil(fraction * n)
-        # Every held (hash, id) precedes every kept one, copies being interchangeable.
-        hk = flagged.select("k", split.hash_u32("k", 5).alias("h"), "_tf_held").collect()
-        held_keys = [(r["h"], r["k"]) for r in hk if r["_tf_held"]]
-        kept_keys = [(r["h"], r["k"]) for r in hk if not r["_tf_held"]]
-        if held_keys and kept_keys:
-            assert max(held_keys) <= min(kept_keys)
-        flagged.unpersist()
-
-
-def test_exact_flag_wide_path_matches_sort(spark, monkeypatch):
-    """The large-boundary path agrees with sorting each stratum (unique IDs)."""
-    import math
-
-    monkeypatch.setattr(split, "EDGE_COLLECT_ROWS", 0)
-    df = spark.range(0, 2500, numPartitions=3).select(F.col("id").alias("k"), (F.col("id") % 3).alias("s"))
-    got = {r["k"] for r in split.exact_flag(df, "k", 0.35, 11, ["s"]).filter("_tf_held").select("k").collect()}
-    rows = df.select("k", "s", split.hash_u32("k", 11).alias("h")).collect()
-    want = set()
-    for s in range(3):
-        members = sorted((r["h"], r["k"]) for r in rows if r["s"] == s)
-        want |= {k for _, k in members[:math.ceil(0.35 * len(members))]}
-    assert got == want
+        assert max(held) <= min((r.h, r.k, r.row) for r in rows if not r._tf_held)
