@@ -42,8 +42,8 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def _reg(spark, sf_dir):
-    return tables.lineitem_regression(spark, sf_dir)
+def _reg(spark, sf_dir, id_order: str = "key"):
+    return tables.lineitem_regression(spark, sf_dir, id_order=id_order)
 
 
 def _split(spark, sf_dir):
@@ -60,10 +60,10 @@ REG_COLS = f"{FEATS_SQL}, revenue, row_id"
 
 
 # --------------------------------------------------------------------------- sources
-@query("bronze_scan", f"WITH {S.reg_cte()} SELECT {REG_COLS} FROM reg")
+@query("bronze_scan", f"WITH {S.reg_cte(numbered=True)} SELECT {REG_COLS} FROM reg")
 def q_bronze_scan(spark, sf_dir):
     """Raw regression table with target and ID, checked as bronze."""
-    return layers.bronze(_reg(spark, sf_dir), SPEC)
+    return layers.bronze(_reg(spark, sf_dir, "sort"), SPEC)
 
 
 @query("normalise_columns",
@@ -105,11 +105,11 @@ def q_attach_target(spark, sf_dir):
         .select(*SPEC.features, "revenue")
 
 
-@query("layer_roundtrip", f"WITH {S.reg_cte()} SELECT {REG_COLS} FROM reg")
+@query("layer_roundtrip", f"WITH {S.reg_cte(numbered=True)} SELECT {REG_COLS} FROM reg")
 def q_layer_roundtrip(spark, sf_dir):
     """Bronze -> silver -> gold written to the shared folder, read back."""
     root = scratch_path(spark, "layers")
-    bronze = layers.bronze(_reg(spark, sf_dir), SPEC)
+    bronze = layers.bronze(_reg(spark, sf_dir, "sort"), SPEC)
     layers.write_layer(bronze, f"{root}/bronze")
     silver = layers.silver(layers.read_layer(spark, f"{root}/bronze"), SPEC)
     layers.write_layer(silver, f"{root}/silver")
@@ -118,18 +118,18 @@ def q_layer_roundtrip(spark, sf_dir):
     return layers.read_layer(spark, f"{root}/gold")
 
 
-@query("gold_select", f"WITH {S.reg_cte()} SELECT {REG_COLS} FROM reg")
+@query("gold_select", f"WITH {S.reg_cte(numbered=True)} SELECT {REG_COLS} FROM reg")
 def q_gold_select(spark, sf_dir):
     """Features, target, ID in that order."""
-    return layers.gold(_reg(spark, sf_dir), SPEC)
+    return layers.gold(_reg(spark, sf_dir, "sort"), SPEC)
 
 
 @query("silver_dropna",
-       f"WITH {S.reg_cte(null_tax=True)} SELECT {REG_COLS} FROM reg WHERE "
+       f"WITH {S.reg_cte(null_tax=True, numbered=True)} SELECT {REG_COLS} FROM reg WHERE "
        + " AND ".join(f"{c} IS NOT NULL" for c in [*S.FEATS, "revenue", "row_id"]))
 def q_silver_dropna(spark, sf_dir):
     """P3 + Q3: rows with any null dropped; the result passes the silver check."""
-    return layers.silver(tables.null_injected(_reg(spark, sf_dir)), SPEC)
+    return layers.silver(tables.null_injected(_reg(spark, sf_dir, "sort")), SPEC)
 
 
 @query("null_counts",
@@ -238,6 +238,44 @@ def q_exact_split(spark, sf_dir):
     return held
 
 
+_LINES = ", ".join(tables.LINEITEM_KEY)
+
+
+@query("exact_split_repeated",
+       f"WITH r AS (SELECT {_LINES}, row_number() OVER (ORDER BY {S.h32('l_orderkey')}, {_LINES}) AS rn, "
+       f"count(*) OVER () AS n FROM lineitem) SELECT {_LINES} FROM r WHERE rn <= ceil(0.3 * n)")
+def q_exact_split_repeated(spark, sf_dir):
+    """X2 on an ID that repeats (the order of a line): exactly ceil(0.3 n) rows, none twice."""
+    _, held = split.exact_holdout(tables.load(spark, sf_dir, "lineitem").select(*tables.LINEITEM_KEY), "l_orderkey", 0.3, SEED)
+    return held
+
+
+@query("stratified_split_nulls",
+       "WITH l AS (SELECT CASE WHEN l_linenumber != 7 THEN l_orderkey END AS k, l_orderkey, l_partkey, l_suppkey, "
+       "CASE WHEN l_returnflag != 'A' THEN l_returnflag END AS s FROM lineitem), "
+       f"r AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY {S.h32('k')}, k NULLS FIRST, l_orderkey, l_partkey, l_suppkey) "
+       "AS rn, count(*) OVER (PARTITION BY s) AS n FROM l) "
+       "SELECT k, l_orderkey, l_partkey, l_suppkey, s, CASE WHEN rn <= ceil(0.4 * n) THEN 'train' ELSE 'scoring' END AS part FROM r")
+def q_stratified_split_nulls(spark, sf_dir):
+    """O1, X2 with null IDs (a hot one) and a null stratum."""
+    li = tables.load(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") != 7, F.col("l_orderkey")).alias("k"), "l_orderkey", "l_partkey", "l_suppkey",
+        F.when(F.col("l_returnflag") != "A", F.col("l_returnflag")).alias("s"))
+    tr, sc = split.stratified_split(li, "k", ["s"], 0.4, SEED)
+    return tr.withColumn("part", F.lit("train")).unionByName(sc.withColumn("part", F.lit("scoring")))
+
+
+@query("hash_split_nulls",
+       "WITH l AS (SELECT CASE WHEN l_linenumber != 7 THEN l_orderkey END AS k, l_partkey FROM lineitem) "
+       f"SELECT k, l_partkey, CASE WHEN {S.h32('k')} < {1 << 31} THEN 'train' ELSE 'scoring' END AS part FROM l")
+def q_hash_split_nulls(spark, sf_dir):
+    """X1 with null IDs: every row has a side."""
+    li = tables.load(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") != 7, F.col("l_orderkey")).alias("k"), "l_partkey")
+    tr, sc = split.split_train_scoring(li, "k", 0.5, SEED)
+    return tr.withColumn("part", F.lit("train")).unionByName(sc.withColumn("part", F.lit("scoring")))
+
+
 @query("first_k", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 5")
 def q_first_k(spark, sf_dir):
     """First five rows by ID (kept with a model as its input example)."""
@@ -286,13 +324,15 @@ def q_scaler_fit(spark, sf_dir):
     return stats.select(*[F.round(c, 6).alias(c) for c in stats.columns])
 
 
-@query("scaler_apply", _TR + ", st AS (SELECT " + ", ".join(
+# On the numbered IDs: with the split by key the mean of l_discount puts a value on
+# a tie of the ninth digit, which two engines that sum in another order round apart.
+@query("scaler_apply", f"WITH {S.reg_cte(numbered=True)}, {S.split_ctes()}, st AS (SELECT " + ", ".join(
     f"avg({f}) AS m_{f}, CASE WHEN stddev_pop({f}) > 0 THEN stddev_pop({f}) ELSE 1.0 END AS s_{f}"
     for f in S.FEATS) + " FROM tr) SELECT sc.row_id, " + ", ".join(
     f"round((sc.{f} - st.m_{f}) / st.s_{f}, 9) AS z_{f}" for f in S.FEATS) + " FROM sc, st")
 def q_scaler_apply(spark, sf_dir):
     """scoring rows scaled with the training statistics (no leakage)."""
-    tr, sc = _split(spark, sf_dir)
+    tr, sc = split.split_train_scoring(_reg(spark, sf_dir, "sort"), SPEC.id_col, 0.5, SEED)
     scaler = fit_scaler(tr, SPEC.features)
     return sc.select("row_id", *[F.round(scaler.column(i), 9).alias(f"z_{f}")
                                  for i, f in enumerate(scaler.features)])
@@ -501,7 +541,7 @@ def q_best_calibrated(spark, sf_dir):
 def _promotion_requests(spark, sf_dir):
     """Two promotion rounds (split seeds 42, then 7): champion, challenger and
     best_calibrated registered in each, in that order."""
-    reg = _reg(spark, sf_dir).cache()
+    reg = _reg(spark, sf_dir)
     frames = []
     for rnd, seed in enumerate((SEED, 7)):
         cands, _ = univariate_candidates(reg, SPEC, seed)

@@ -3,25 +3,27 @@ driver's tables). Kept next to the Spark plans they check."""
 
 from __future__ import annotations
 
-from tablefit.sources.tables import LINEITEM_ORDER
+from tablefit.sources.tables import LINEITEM_KEY
 from tablefit.spec import LINEITEM_FEATURES
 
-ORDER_LIST = ", ".join(LINEITEM_ORDER)
+ORDER_LIST = ", ".join(LINEITEM_KEY)
+KEY = " || '-' || ".join(LINEITEM_KEY)
 FEATS = list(LINEITEM_FEATURES)
 
 
 def h32(expr: str, seed: int = 42) -> str:
     """The split hash: first 8 hex digits of md5('<seed>:<id>') as an integer."""
-    return f"CAST('0x' || substr(md5('{seed}:' || CAST({expr} AS VARCHAR)), 1, 8) AS BIGINT)"
+    return f"CAST('0x' || substr(md5('{seed}:' || coalesce(CAST({expr} AS VARCHAR), 'null')), 1, 8) AS BIGINT)"
 
 
-def reg_cte(name: str = "reg", null_tax: bool = False, null_target: bool = False) -> str:
+def reg_cte(name: str = "reg", null_tax: bool = False, null_target: bool = False,
+            numbered: bool = False) -> str:
     tax = "CASE WHEN l_linenumber = 7 THEN NULL ELSE l_tax END AS l_tax" if null_tax else "l_tax"
     rev = "l_extendedprice * (1 - l_discount)"
     if null_target:
         rev = f"CASE WHEN l_linenumber = 7 THEN NULL ELSE {rev} END"
     return (f"{name} AS (SELECT l_quantity, l_extendedprice, l_discount, {tax}, l_linenumber, "
-            f"{rev} AS revenue, row_number() OVER (ORDER BY {ORDER_LIST}) AS row_id FROM lineitem)")
+            f"{rev} AS revenue, {f'row_number() OVER (ORDER BY {ORDER_LIST})' if numbered else KEY} AS row_id FROM lineitem)")
 
 
 def split_ctes(src: str = "reg", seed: int = 42, fraction: float = 0.5, sfx: str = "") -> str:

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from tablefit.sources.layers import sequential_id
 from tablefit.spec import LINEITEM_FEATURES
 
-LINEITEM_ORDER = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                  "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-                  "l_shipdate")
+# Distinct on every row: an order holds a part of a supplier once per line number.
+LINEITEM_KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,22 +21,27 @@ def revenue_expr():
 
 
 def lineitem_regression(spark: SparkSession, sf_dir: str, with_id: bool = True,
-                        id_order: str = "sort") -> DataFrame:
-    """Features, ``revenue`` target and a ``row_id`` 1..n.
-
-    ``id_order="sort"`` orders on all lineitem columns (order/line pairs
-    repeat, full rows do not), reproducible by any engine that can sort; it
-    costs a sort of the whole table. ``id_order="source"`` numbers rows in file
-    order from the scan metadata: no sort and no shuffle, the choice at scale.
+                        id_order: str = "key") -> DataFrame:
+    """Features, ``revenue`` target and a ``row_id``.
+
+    ``id_order="key"`` (default) makes the ID from the table's own key: a
+    projection, pruned where the ID is not used. ``"sort"`` numbers the rows 1..n
+    in key order, reproducible by any engine that can sort, at the cost of a sort
+    of the projected columns; ``"source"`` numbers them in file order from the
+    scan metadata, without a sort or a shuffle.
     """
     li = load(spark, sf_dir, "lineitem")
     if not with_id:
         return li.select(*LINEITEM_FEATURES, revenue_expr())
+    if id_order == "key":
+        key = F.concat_ws("-", *[F.col(c).cast("string") for c in LINEITEM_KEY]).alias("row_id")
+        return li.select(*LINEITEM_FEATURES, revenue_expr(), key)
     if id_order == "source":
         li = sequential_id(li.select(*LINEITEM_FEATURES, revenue_expr()), "row_id")
         return li.select(*LINEITEM_FEATURES, "revenue", "row_id")
-    li = sequential_id(li, "row_id", order_by=list(LINEITEM_ORDER))
-    return li.select(*LINEITEM_FEATURES, revenue_expr(), "row_id")
+    li = li.select(*dict.fromkeys([*LINEITEM_KEY, *LINEITEM_FEATURES]), revenue_expr())
+    li = sequential_id(li, "row_id", order_by=list(LINEITEM_KEY))
+    return li.select(*LINEITEM_FEATURES, "revenue", "row_id")
 
 
 def null_injected(df: DataFrame) -> DataFrame:

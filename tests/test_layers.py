@@ -1,4 +1,4 @@
-"""Sources and layers: the reference's loader and gold tests, on the lineitem table."""
+"""Sources and layers on the lineitem table."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,10 +21,18 @@ def test_target_and_id_present(reg):
     assert set(SPEC.features) <= set(reg.columns)
 
 
-def test_sequential_ids_by_sort(reg):
-    ids = [r[0] for r in reg.select(SPEC.id_col).collect()]
+def test_sequential_ids_by_sort(spark):
+    numbered = tables.lineitem_regression(spark, SF_SMALL, id_order="sort")
+    ids = [r[0] for r in numbered.select(SPEC.id_col).collect()]
     assert sorted(ids) == list(range(1, len(ids) + 1))
-    assert checks.expect_sequential_ids(reg, SPEC.id_col).first()["passed"]
+    assert checks.expect_sequential_ids(numbered, SPEC.id_col).first()["passed"]
+
+
+def test_key_ids_are_distinct_and_need_no_sort(reg, spark):
+    df = tables.lineitem_regression(spark, SF_SMALL)
+    assert df.select("row_id").distinct().count() == df.count()
+    plan = df.agg(F.max("revenue"))._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "l_orderkey" not in plan.split("ReadSchema")[-1]
 
 
 def test_sequential_ids_follow_sort_order(spark):
@@ -107,7 +115,8 @@ def test_read_table_formats(spark, reg):
     from tablefit.session import scratch_path
     from pyspark.sql import types as T
 
-    small = reg.select("row_id", "l_quantity", "revenue").filter(F.col("row_id") <= 50)
+    numbered = tables.lineitem_regression(spark, SF_SMALL, id_order="sort")
+    small = numbered.select("row_id", "l_quantity", "revenue").filter(F.col("row_id") <= 50)
     for fmt in ("csv", "json", "parquet"):
         path = scratch_path(spark, f"fmt-{fmt}")
         writer = small.write.mode("overwrite").format(fmt)
