@@ -1,16 +1,17 @@
 """Fitted models as data (M5, M6, B1).
 
-Every model is a small JSON-able payload that turns into built-in Column
-expressions: the scaler is folded into the prediction, trees become nested
-``CASE WHEN``, so scoring several models is one projection inside whole-stage
-codegen with no Python worker in the hot path.
+Every model is a small JSON-able payload that turns into a Column. Linear models
+are built-in expressions. Trees are flat arrays of nodes, evaluated per Arrow
+batch by numpy: the same path for every size, since an expression of hundreds of
+trees outgrows what generated code may hold.
 """
 
 from __future__ import annotations
 
 import json
 
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,8 +52,64 @@ def tree_column(node: dict, zs: list[Column]) -> Column:
         tree_column(node["r"], zs))
 
 
-def tree_depth(node: dict) -> int:
-    return 0 if "v" in node else 1 + max(tree_depth(node["l"]), tree_depth(node["r"]))
+class FlatTrees:
+    """Trees as arrays over all their nodes; a leaf is its own child."""
+
+    def __init__(self, trees: list):
+        feature, threshold, left, right, value, roots, depth = [], [], [], [], [], [], 0
+        for tree in trees:
+            roots.append(len(feature))
+            level, at = [tree], len(feature)
+            while level:
+                below, child = [], at + len(level)
+                for node in level:
+                    leaf = "v" in node
+                    here = len(feature)
+                    feature.append(0 if leaf else node["f"])
+                    threshold.append(0.0 if leaf else node["t"])
+                    value.append(node["v"] if leaf else 0.0)
+                    left.append(here if leaf else child + len(below))
+                    right.append(here if leaf else child + len(below) + 1)
+                    if not leaf:
+                        below += [node["l"], node["r"]]
+                at, level = child, below
+            depth = max(depth, _depth(tree))
+        self.feature, self.left, self.right, self.roots = (np.array(a, np.int32) for a in (feature, left, right, roots))
+        self.threshold, self.value, self.depth = np.array(threshold, float), np.array(value, float), depth
+
+    def arrays(self) -> tuple:
+        return self.feature, self.threshold, self.left, self.right, self.value, self.roots, self.depth
+
+
+def _depth(node: dict) -> int:
+    return 0 if "v" in node else 1 + max(_depth(node["l"]), _depth(node["r"]))
+
+
+def weighted_leaves(flat: tuple, Z, weights):
+    """``sum_k weights[k] * tree_k(z)`` for each row of ``Z``; ``weights`` may
+    have several columns. Trees are taken in blocks, so memory stays bounded."""
+    feature, threshold, left, right, value, roots, depth = flat
+    out = np.zeros((len(Z), weights.shape[1]))
+    rows = np.arange(len(Z))[:, None]
+    for k in range(0, len(roots), 64):
+        at = np.repeat(roots[None, k:k + 64], len(Z), axis=0)
+        for _ in range(depth):
+            at = np.where(Z[rows, feature[at]] <= threshold[at], left[at], right[at])
+        out += value[at] @ weights[k:k + 64]
+    return out
+
+
+def tree_udf(trees: list, weights: list, init: list):
+    """``init + weights' tree values`` as an array column of scaled features."""
+    flat, w, start = FlatTrees(trees).arrays(), np.asarray(weights, float).reshape(len(trees), len(init)), np.asarray(init, float)
+    evaluate = weighted_leaves
+
+    @F.pandas_udf("array<double>")
+    def predict(*z: pd.Series) -> pd.Series:
+        Z = np.column_stack([c.to_numpy(dtype=float) for c in z])
+        return pd.Series(list(start + evaluate(flat, Z, w)))
+
+    return predict
 
 
 # --------------------------------------------------------------------------- models
@@ -135,12 +192,15 @@ class TreeEnsembleModel(Model):
     def __init__(self, scaler: Scaler, trees: list, weights: list, init: float = 0.0):
         super().__init__(scaler)
         self.trees, self.weights, self.init = trees, [float(w) for w in weights], float(init)
+        self._udf = None
 
     def predict_col(self, sources=None) -> Column:
         return self.predict_z(self.z(sources))
 
     def predict_z(self, zs: list[Column]) -> Column:
-        return _lit(self.init) + _dot(_lit(w) * tree_column(t, zs) for t, w in zip(self.trees, self.weights))
+        if self._udf is None:
+            self._udf = tree_udf(self.trees, self.weights, [self.init])
+        return self._udf(*zs)[0]
 
     def to_dict(self):
         return {"kind": self.kind, "scaler": self.scaler.to_dict(), "trees": self.trees,
@@ -161,17 +221,28 @@ class NGBoostModel(Model):
         self.init_mu, self.init_s = float(init_mu), float(init_s)
         self.rounds = rounds  # [{"mu": tree, "s": tree, "scale": float}]
         self.learning_rate = float(learning_rate)
+        self._udfs: dict = {}
 
     def param_cols(self, sources=None, upto: int | None = None) -> tuple[Column, Column]:
         return self.param_z(self.z(sources), upto)
 
-    def param_z(self, zs: list[Column], upto: int | None = None) -> tuple[Column, Column]:
+    def weights(self, upto: int | None = None):
+        """Trees of the rounds (mu, s, mu, s, ...) and what each adds to the two parameters."""
         rounds = self.rounds if upto is None else self.rounds[:upto]
-        mu = _lit(self.init_mu) - _dot(_lit(self.learning_rate * r["scale"]) * tree_column(r["mu"], zs)
-                                       for r in rounds)
-        s = _lit(self.init_s) - _dot(_lit(self.learning_rate * r["scale"]) * tree_column(r["s"], zs)
-                                     for r in rounds)
-        return mu, s
+        trees, w = [], []
+        for r in rounds:
+            trees += [r["mu"], r["s"]]
+            w += [[-self.learning_rate * r["scale"], 0.0], [0.0, -self.learning_rate * r["scale"]]]
+        return trees, w
+
+    def param_z(self, zs: list[Column], upto: int | None = None) -> tuple[Column, Column]:
+        if upto not in self._udfs:
+            trees, w = self.weights(upto)
+            self._udfs[upto] = tree_udf(trees, w, [self.init_mu, self.init_s]) if trees else None
+        if self._udfs[upto] is None:
+            return _lit(self.init_mu), _lit(self.init_s)
+        both = self._udfs[upto](*zs)
+        return both[0], both[1]
 
     def predict_col(self, sources=None) -> Column:
         return self.param_cols(sources)[0]
@@ -206,34 +277,18 @@ def model_from_json(s: str) -> Model:
     return model_from_dict(json.loads(s))
 
 
-def predict_numpy(model: Model, X) -> "np.ndarray":  # noqa: F821
+def predict_numpy(model: Model, X) -> np.ndarray:
     """The same prediction on a numpy block (used by the Arrow UDF form, B2)."""
-    import numpy as np
-
     sc = model.scaler
     Z = (np.asarray(X, dtype=float) - np.asarray(sc.means)) / np.asarray(sc.scales)
     if isinstance(model, LinearModel):
         return model.intercept + Z @ np.asarray(model.coef)
 
-    def tree_np(node, Z):
-        if "v" in node:
-            return np.full(len(Z), node["v"])
-        left = Z[:, node["f"]] <= node["t"]
-        out = np.empty(len(Z))
-        out[left] = tree_np(node["l"], Z[left])
-        out[~left] = tree_np(node["r"], Z[~left])
-        return out
-
     if isinstance(model, TreeEnsembleModel):
-        out = np.full(len(Z), model.init)
-        for t, w in zip(model.trees, model.weights):
-            out += w * tree_np(t, Z)
-        return out
+        return model.init + weighted_leaves(FlatTrees(model.trees).arrays(), Z, np.asarray(model.weights).reshape(-1, 1))[:, 0]
     if isinstance(model, NGBoostModel):
-        out = np.full(len(Z), model.init_mu)
-        for r in model.rounds:
-            out -= model.learning_rate * r["scale"] * tree_np(r["mu"], Z)
-        return out
+        trees, w = model.weights()
+        return model.init_mu + weighted_leaves(FlatTrees(trees).arrays(), Z, np.asarray(w).reshape(-1, 2))[:, 0]
     raise ValueError(f"no numpy prediction for {model.kind}")
 
 

@@ -3,11 +3,11 @@ driver's tables). Kept next to the Spark plans they check."""
 
 from __future__ import annotations
 
-from tablefit.sources.tables import LINEITEM_KEY
+from tablefit.sources.tables import LINEITEM_KEY, LINEITEM_ORDER
 from tablefit.spec import LINEITEM_FEATURES
 
-ORDER_LIST = ", ".join(LINEITEM_KEY)
-KEY = " || '-' || ".join(LINEITEM_KEY)
+ORDER_LIST = ", ".join(LINEITEM_ORDER)
+KEY = " || '-' || ".join([*LINEITEM_KEY, "CAST(l_quantity AS BIGINT)"])
 FEATS = list(LINEITEM_FEATURES)
 
 

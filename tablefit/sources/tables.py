@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from tablefit.sources.layers import sequential_id
 from tablefit.spec import LINEITEM_FEATURES
 
-# Distinct on every row: an order holds a part of a supplier once per line number.
+# The line's own key (it repeats at times) and, for a total order, its measures.
 LINEITEM_KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+LINEITEM_ORDER = (*LINEITEM_KEY, "l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,13 +35,14 @@ def lineitem_regression(spark: SparkSession, sf_dir: str, with_id: bool = True,
     if not with_id:
         return li.select(*LINEITEM_FEATURES, revenue_expr())
     if id_order == "key":
-        key = F.concat_ws("-", *[F.col(c).cast("string") for c in LINEITEM_KEY]).alias("row_id")
+        parts = [*[F.col(c) for c in LINEITEM_KEY], F.col("l_quantity").cast("bigint")]
+        key = F.concat_ws("-", *[c.cast("string") for c in parts]).alias("row_id")
         return li.select(*LINEITEM_FEATURES, revenue_expr(), key)
     if id_order == "source":
         li = sequential_id(li.select(*LINEITEM_FEATURES, revenue_expr()), "row_id")
         return li.select(*LINEITEM_FEATURES, "revenue", "row_id")
-    li = li.select(*dict.fromkeys([*LINEITEM_KEY, *LINEITEM_FEATURES]), revenue_expr())
-    li = sequential_id(li, "row_id", order_by=list(LINEITEM_KEY))
+    li = li.select(*dict.fromkeys([*LINEITEM_ORDER, *LINEITEM_FEATURES]), revenue_expr())
+    li = sequential_id(li, "row_id", order_by=list(LINEITEM_ORDER))
     return li.select(*LINEITEM_FEATURES, "revenue", "row_id")
 
 
