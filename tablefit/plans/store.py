@@ -1,12 +1,18 @@
 """Run log and registry tables under one root in the shared folder.
 
-``runs``, ``trials``, ``model_versions`` and ``model_aliases`` are append-only
-parquet tables; nothing is updated in place, so a retried task or job appends
-the same rows again at worst and the readers take the latest by ``seq``.
+``runs`` and ``trials`` have a sub-folder for each run, which a retried task
+writes again: a run counts once, and tasks that log different runs at the same
+time never share a folder. ``model_versions`` and ``model_aliases`` are
+append-only logs written by one promotion job at a time; readers take the latest
+row by ``seq``. A table that cannot be read is an error; only one that was never
+written is empty.
 """
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +27,13 @@ class ModelStore:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _read(self, table: str, schema) -> DataFrame:
+    def _read(self, table: str, schema, by_run: bool = False) -> DataFrame:
+        path = self.path(table) + ("/*" if by_run else "")
         try:
-            return self.spark.read.schema(schema).parquet(self.path(table))
-        except Exception:  # the table does not exist yet
+            return self.spark.read.schema(schema).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
 
     def _append(self, df: DataFrame, table: str) -> None:
@@ -32,14 +41,16 @@ class ModelStore:
 
     # M11
     def log_search(self, results: list) -> None:
-        self._append(search.runs_frame(self.spark, results), "runs")
-        self._append(search.trials_frame(self.spark, results), "trials")
+        for res in results:
+            name = quote(res.run_id, safe="")
+            search.trials_frame(self.spark, [res]).write.mode("overwrite").parquet(f"{self.path('trials')}/{name}")
+            search.runs_frame(self.spark, [res]).write.mode("overwrite").parquet(f"{self.path('runs')}/{name}")
 
     def runs(self) -> DataFrame:
-        return self._read("runs", search.RUNS_SCHEMA)
+        return self._read("runs", search.RUNS_SCHEMA, by_run=True)
 
     def trials(self) -> DataFrame:
-        return self._read("trials", search.TRIALS_SCHEMA)
+        return self._read("trials", search.TRIALS_SCHEMA, by_run=True)
 
     # V1-V3
     def versions(self) -> DataFrame:

@@ -91,3 +91,35 @@ def test_union_candidates_tags_task_order(spark):
     c = registry.with_distributional_flag(registry.union_candidates([a, b]))
     rows = {r["run_id"]: (r["ord"], r["is_distributional"]) for r in c.collect()}
     assert rows == {"r1": (0, False), "r2": (1, True)}
+
+
+def test_a_retried_log_counts_once_and_two_tasks_do_not_meet(spark, reg):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tablefit.operators import search
+    from tablefit.plans.flow import select_and_register
+    from tablefit.plans.store import ModelStore
+    from tablefit.session import scratch_path
+    from tablefit.spec import LINEITEM_SPEC as SPEC
+
+    store = ModelStore(spark, scratch_path(spark, "store-retry"))
+    found = search.run_searches(reg, SPEC, ["linear_regression", "bayesian_ridge"], n_trials=2, seed=1)
+    with ThreadPoolExecutor(4) as pool:
+        for _ in range(2):  # the second time as a retry
+            list(pool.map(lambda r: store.log_search([r]), found))
+    assert store.runs().count() == 2 and store.trials().count() == 4
+    select_and_register(store, "m", [r.run_id for r in found])
+    assert {store.resolve("m", a)[1] for a in ("champion", "challenger")} == {r.run_id for r in found}
+
+
+def test_a_table_that_cannot_be_read_is_an_error(spark):
+    from tablefit.plans.store import ModelStore
+    from tablefit.session import scratch_path
+
+    root = scratch_path(spark, "store-broken")
+    store = ModelStore(spark, root)
+    assert store.versions().count() == 0
+    spark.createDataFrame([("not", "parquet")], "a string, b string").write.csv(store.path("model_versions"))
+    with pytest.raises(Exception):
+        store.register("m", [("champion", "r1")])
+    assert store.aliases().count() == 0
