@@ -76,7 +76,7 @@ def best_calibrated(candidates: DataFrame, metric: str = "val_nll", order_col: s
     dist = candidates.filter(F.col("is_distributional"))
     best = dist.orderBy(F.col(metric).asc_nulls_last(), F.col(order_col)).limit(1)
     if not best.take(1):
-        raise ValueError("No distributional candidates provided.")
+        raise ValueError("None of the candidates predicts a distribution (No distributional model type among them)")
     return best.withColumn("alias", F.lit("best_calibrated"))
 
 
