@@ -7,6 +7,8 @@ row per grid point per task (partial aggregation), whatever the row count.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,12 +30,18 @@ def density_histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     """``bins`` equal bins over [min, max] (last bin closed); height = count / (n * width).
 
     Empty bins are kept (right join from the ``bins``-row frame of bin numbers).
+    A column of one value gets bins over that value plus and minus a half. Nulls
+    are left out; NaN or infinite values are an error.
     """
     lo, hi, n = _bounds(df, value)
     spark = df.sparkSession
     if n == 0:
         return spark.createDataFrame([], "bin int, lo double, hi double, n long, density double")
-    width = (hi - lo) / bins if hi > lo else 1.0
+    if not (math.isfinite(lo) and math.isfinite(hi)):
+        raise ValueError(f"{value!r} has NaN or infinite values; a histogram needs finite ones")
+    if lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
+    width = (hi - lo) / bins
     x = F.col(value).cast("double")
     b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     counts = df.filter(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))

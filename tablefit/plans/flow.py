@@ -94,7 +94,8 @@ def calibration_job(spark: SparkSession, store: ModelStore, model_name: str, sco
 
 
 def run_all(spark: SparkSession, raw: DataFrame, spec: FeatureSpec, root: str, model_name: str,
-            n_trials: int = 15, seed: int = 42, overrides: dict | None = None, parallel: bool = True) -> dict:
+            n_trials: int = 15, seed: int = 42, overrides: dict | None = None, parallel: bool = True,
+            model_types: tuple = MODEL_TYPES) -> dict:
     """The whole graph; ``overrides`` maps model type to pinned parameters."""
     store = ModelStore(spark, f"{root}/registry")
     paths = medallion(raw, spec, root)
@@ -103,7 +104,7 @@ def run_all(spark: SparkSession, raw: DataFrame, spec: FeatureSpec, root: str, m
     # run log is appended afterwards (one writer at a time per table).
     train = layers.read_layer(spark, paths["train_set"])
     checks.validate_train_scoring(train, spec, "Train set")
-    results = search.run_searches(train, spec, list(MODEL_TYPES), n_trials, seed, overrides=overrides,
+    results = search.run_searches(train, spec, list(model_types), n_trials, seed, overrides=overrides,
                                   data_tag=paths["train_set"], parallel=parallel)
     store.log_search(results)
     aliases = select_and_register(store, model_name, [r.run_id for r in results])
@@ -138,7 +139,7 @@ def fit_and_score(spark: SparkSession, sf_dir: str, spec: FeatureSpec = LINEITEM
     prof = tagged.agg(*aggs).first().asDict()
     with_nulls = [c for c in spec.layer_columns if prof[f"null_{c}"]]
     if with_nulls:
-        raise ValueError(f"Silver schema validation failed. Nulls found in: {with_nulls}")
+        raise ValueError(f"Silver: Nulls found, rows by column {({c: prof[f'null_{c}'] for c in with_nulls})}")
     checks.check_profile(prof, "Train set")
     scaler = Scaler(tuple(spec.features), tuple(float(prof[f"mean_{f}"]) for f in spec.features),
                     tuple(float(prof[f"std_{f}"] or 0.0) for f in spec.features))

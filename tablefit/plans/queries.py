@@ -155,10 +155,10 @@ def q_check_columns(spark, sf_dir):
     reg = _reg(spark, sf_dir)
     present = [c for c in _EXPECTED_COLS if c in reg.columns]
     counts = reg.agg(*[F.count(c).alias(c) for c in present])
-    pairs = ", ".join(
-        f"'{c}', true, `{c}`" if c in present else f"'{c}', false, CAST(NULL AS BIGINT)" for c in _EXPECTED_COLS)
-    return counts.selectExpr(f"stack({len(_EXPECTED_COLS)}, {pairs}) AS (column_name, present, n_nonnull)") \
-        .select(F.lit("Gold").alias("layer"), "column_name", "present", "n_nonnull")
+    pairs = ", ".join(f"'{c}', `{c}`" for c in present)
+    nonnull = counts.selectExpr(f"stack({len(present)}, {pairs}) AS (column_name, n_nonnull)")
+    return (checks.column_presence(reg, _EXPECTED_COLS, "Gold").join(nonnull, "column_name", "left")
+            .select("layer", "column_name", "present", "n_nonnull"))
 
 
 @query("check_target",
@@ -640,6 +640,26 @@ def q_holdout_metrics(spark, sf_dir):
     return out.select("alias", "n", F.round("rmse", 4).alias("rmse"), F.round("r2", 9).alias("r2"))
 
 
+@query("job_graph")
+def q_job_graph(spark, sf_dir):
+    """The job graph on the linear families: 15 trials each, run log,
+    selection, registration, models loaded by alias, scored table written and read back, metrics per alias."""
+    from tablefit.plans.flow import run_all
+
+    out = run_all(spark, _reg(spark, sf_dir), SPEC, scratch_path(spark, "job-graph"), MODEL_NAME, 15, SEED,
+                  model_types=("linear_regression", "bayesian_ridge"))
+    runs = out["store"].runs().select("run_id", "model_type")
+    return out["metrics"].join(out["aliases"].join(runs, "run_id"), "alias").select(
+        "alias", "version", "model_type", "n", F.round("rmse", 4).alias("rmse"), F.round("r2", 9).alias("r2"))
+
+
+@query("row_count", "SELECT 'row_count' AS \"check\", true AS passed, CAST(count(*) AS VARCHAR) AS observed FROM lineitem")
+def q_row_count(spark, sf_dir):
+    """Q6: the projected table has as many rows as its source."""
+    n = tables.load(spark, sf_dir, "lineitem").count()
+    return checks.expect_row_count(_reg(spark, sf_dir), n)
+
+
 # --------------------------------------------------------------------------- calibration
 @query("density_histogram",
        "WITH b AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi, count(*) AS n FROM orders), "

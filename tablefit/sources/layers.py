@@ -140,15 +140,15 @@ def bronze(raw: DataFrame, spec: FeatureSpec) -> DataFrame:
     return df
 
 
-def silver_dropna(df: DataFrame, strict: bool = False) -> DataFrame:
+def silver_dropna(df: DataFrame) -> DataFrame:
     """Drop rows with a null (or NaN) in any column."""
     return df.dropna(how="any")
 
 
-def silver(bronze_df: DataFrame, spec: FeatureSpec, strict: bool = False) -> DataFrame:
+def silver(bronze_df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Bronze without incomplete rows; checked for nulls (Q3)."""
     df = silver_dropna(bronze_df)
-    checks.validate_silver(df, spec, strict=strict)
+    checks.validate_silver(df, spec)
     return df
 
 

@@ -6,7 +6,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tablefit.operators.models import Model
 from tablefit.operators.scoring import score
-from tablefit.session import scratch_path
 
 
 def score_stream(stream: DataFrame, models: dict[str, Model]) -> DataFrame:
@@ -19,15 +18,16 @@ def start_scoring_stream(spark: SparkSession, source_dir: str, schema: T.StructT
                          max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Parquet files arriving in ``source_dir`` -> scored parquet in ``sink_dir``.
 
-    The checkpoint defaults to a fresh folder under the shared folder, so a
-    restarted query resumes exactly once from where it stopped.
+    The checkpoint belongs to the sink: unless given, it is the folder beside it
+    named ``<sink>_checkpoint``. A restarted query finds it there and takes up
+    where it stopped, each file scored exactly once.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     scored = score_stream(reader.parquet(source_dir), models)
     writer = (scored.writeStream.format("parquet").option("path", sink_dir)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt"))
+              .option("checkpointLocation", checkpoint or sink_dir.rstrip("/") + "_checkpoint")
               .outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

@@ -54,6 +54,14 @@ def test_histogram_area_is_one(reg):
     assert [r["n"] for r in sorted(h, key=lambda r: r["bin"])] == counts.tolist()
 
 
+def test_histogram_of_one_value_and_of_nan(spark):
+    h = calibration.density_histogram(spark.createDataFrame([(7.0,)] * 9 + [(None,)], "v double"), "v", 4).orderBy("bin").collect()
+    assert [(r["lo"], r["hi"], r["n"]) for r in h] == [(6.5, 6.75, 0), (6.75, 7.0, 0), (7.0, 7.25, 9), (7.25, 7.5, 0)]
+    assert h[2]["density"] == 4.0
+    with pytest.raises(ValueError, match="NaN"):
+        calibration.density_histogram(spark.createDataFrame([(1.0,), (float("nan"),)], "v double"), "v")
+
+
 def test_mixture_density_integrates_to_one(reg, models):
     mu, sd = models["best_calibrated"].dist_cols()
     dist = reg.select("revenue", mu.alias("mu"), sd.alias("sigma"))

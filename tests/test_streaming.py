@@ -24,3 +24,13 @@ def test_stream_matches_batch(spark, reg):
         batch.select("row_id", F.col("prediction_champion").alias("b")), "row_id")
     assert joined.count() == reg.count()
     assert joined.agg(F.max(F.abs(F.col("s") - F.col("b")))).first()[0] == 0.0
+
+
+def test_a_restart_scores_only_what_is_new(spark, reg):
+    scaler = fit_scaler(reg, SPEC.features)
+    models = {"champion": LinearModel(scaler, 1.0, [0.5] * len(SPEC.features))}
+    src, sink = scratch_path(spark, "restart-src"), scratch_path(spark, "restart-sink")
+    for k in (1, 2):
+        reg.limit(10 * k).coalesce(1).write.mode("append").parquet(src)
+        start_scoring_stream(spark, src, reg.schema, models, sink).awaitTermination(120)
+        assert spark.read.parquet(sink).count() == (10 if k == 1 else 30)
