@@ -33,8 +33,8 @@ from tablefit.llm.common import keep_table, table, text_key, text_or_empty
 WINDOW = 200
 GRAM = 32
 SPAN = WINDOW - GRAM + 1  # places of a gram in a window
-SLICE = 4 << 20  # bytes hashed at a time
-SHARD = 4 << 20  # bytes of segments sorted together, about
+SLICE = 1 << 20  # bytes hashed at a time
+SHARD = 2 << 20  # bytes of segments sorted together, about (raise it where tasks have more memory)
 HOT = 2048  # different segments of one string
 NARROW = 16
 
