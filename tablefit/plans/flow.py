@@ -117,12 +117,11 @@ def fit_and_score(spark: SparkSession, sf_dir: str, spec: FeatureSpec = LINEITEM
     """The minimum slice: lineitem -> bronze / silver / gold -> hash split ->
     checks -> scaler -> least squares -> hold-out ``(n, rmse, r2)``.
 
-    Three passes over the data: per-file counts for the IDs (scan metadata),
-    one fused aggregate for the silver null check, the training-set check and
-    the scaler, and one moments aggregate per split part, from which the fit
-    and the hold-out metrics both follow.
+    Two passes over the data: one fused aggregate for the silver null check, the
+    training-set check and the scaler, and one moments aggregate per split part,
+    from which the fit and the hold-out metrics both follow.
     """
-    raw = tables.lineitem_regression(spark, sf_dir, id_order="source")
+    raw = tables.lineitem_regression(spark, sf_dir)
     bronze = layers.bronze(raw, spec)
     silver = layers.silver_dropna(bronze)
     gold = layers.gold_select(silver, spec)

@@ -425,11 +425,12 @@ def _fitted_linear(spark, sf_dir, kind: str):
     return LinearModel(scaler, b, w), sc
 
 
-@query("ols")
+@query("ols", _TR + f", {S.least_squares_ctes()} SELECT s.row_id, s.revenue, "
+       f"round({S.least_squares_prediction()}, 2) AS prediction FROM sc s, fit")
 def q_ols(spark, sf_dir):
     """M1, M5: least squares on scaled features, scored on the hold-out part."""
     model, sc = _fitted_linear(spark, sf_dir, "ols")
-    return sc.select("row_id", "revenue", model.predict_col().alias("prediction"))
+    return sc.select("row_id", "revenue", F.round(model.predict_col(), 2).alias("prediction"))
 
 
 @query("nnls")
@@ -738,12 +739,14 @@ def q_logistic_scaled(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- flagship
-@query("fit_and_score")
+@query("fit_and_score", _TR + f", {S.least_squares_ctes()}, p AS (SELECT s.revenue, {S.least_squares_prediction()} AS pred "
+       "FROM sc s, fit) SELECT count(*) AS n, round(sqrt(avg(power(revenue - pred, 2))), 4) AS rmse, "
+       "round(1 - sum(power(revenue - pred, 2)) / regr_syy(revenue, revenue), 9) AS r2 FROM p")
 def q_fit_and_score(spark, sf_dir):
     """The minimum slice end to end: layers, checks, split, scaler, least squares, hold-out RMSE / R^2."""
     from tablefit.plans.flow import fit_and_score
 
-    return fit_and_score(spark, sf_dir)
+    return fit_and_score(spark, sf_dir).select("n", F.round("rmse", 4).alias("rmse"), F.round("r2", 9).alias("r2"))
 
 
 def queries() -> dict:

@@ -56,3 +56,30 @@ def univariate_candidates_sql(seed: int = 42, sfx: str = "", with_reg: bool = Tr
         f"cands{sfx} AS (SELECT 'ols_' || feature AS model_type, 2 * k AS ord, false AS is_distributional, "
         f"val_rmse, CAST(NULL AS DOUBLE) AS val_nll, feature FROM ev{sfx} UNION ALL "
         f"SELECT 'gauss_' || feature, 2 * k + 1, true, val_rmse, val_nll, feature FROM ev{sfx})")
+
+
+def least_squares_ctes(src: str = "tr") -> str:
+    """CTEs ending in ``fit``: the least-squares weights ``w<i>`` on centred
+    features with their means ``m<i>`` and the target's mean ``my``. Normal
+    equations of the correlations, solved by elimination written out step by step."""
+    d = len(FEATS)
+    first = [f"avg({f}) AS m{i}, stddev_pop({f}) AS s{i}, corr({f}, revenue) AS b{i}" for i, f in enumerate(FEATS)]
+    first += [f"corr({FEATS[i]}, {FEATS[j]}) AS a{i}{j}" for i in range(d) for j in range(i + 1, d)]
+    out = [f"e0 AS (SELECT avg(revenue) AS my, stddev_pop(revenue) AS sy, {', '.join(first)} FROM {src})"]
+    out.append("f0 AS (SELECT *, " + ", ".join([f"1.0 AS a{i}{i}" for i in range(d)]
+                                               + [f"a{i}{j} AS a{j}{i}" for i in range(d) for j in range(i + 1, d)]) + " FROM e0)")
+    for k in range(d - 1):  # rows below k lose column k
+        new = [f"a{i}{j} - a{i}{k} * a{k}{j} / a{k}{k} AS a{i}{j}" for i in range(k + 1, d) for j in range(k + 1, d)]
+        new += [f"b{i} - a{i}{k} * b{k} / a{k}{k} AS b{i}" for i in range(k + 1, d)]
+        out.append(f"f{k + 1} AS (SELECT * REPLACE ({', '.join(new)}) FROM f{k})")
+    last = f"f{d - 1}"
+    for k in reversed(range(d)):
+        rest = "".join(f" - a{k}{j} * x{j}" for j in range(k + 1, d))
+        out.append(f"x_{k} AS (SELECT *, (b{k}{rest}) / a{k}{k} AS x{k} FROM {last})")
+        last = f"x_{k}"
+    out.append("fit AS (SELECT my, " + ", ".join(f"m{i}, x{i} * sy / s{i} AS w{i}" for i in range(d)) + f" FROM {last})")
+    return ", ".join(out)
+
+
+def least_squares_prediction(alias: str = "s") -> str:
+    return "my" + "".join(f" + w{i} * ({alias}.{f} - m{i})" for i, f in enumerate(FEATS))
