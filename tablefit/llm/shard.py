@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablefit.llm.common import scratch_path, text_or_empty
+from tablefit.llm.common import keep_table, scratch_path, text_or_empty
 
 BUCKET_BYTES = 16 << 20
 #: Buckets of one step of the running total.
@@ -70,7 +70,8 @@ def manifest(buckets: DataFrame) -> DataFrame:
 def read_shards(spark: SparkSession, path: str, n_shards: int = 16) -> DataFrame:
     """The written records with ``shard`` (0 to n_shards - 1) and ``slot`` (gapless from 0)."""
     buckets = spark.read.parquet(path)
-    starts = manifest(buckets)
+    # A written table, so that Spark knows its size and need not shuffle the records to join it.
+    starts = keep_table(manifest(buckets), "shard-manifest")
     total = starts.agg(F.sum("n").alias("n")).first()["n"] or 0
     small, large = divmod(total, n_shards)  # the first `large` shards hold small + 1 rows
     at = F.col("start") + F.col("pos")
