@@ -433,11 +433,12 @@ def q_ols(spark, sf_dir):
     return sc.select("row_id", "revenue", F.round(model.predict_col(), 2).alias("prediction"))
 
 
-@query("nnls")
+@query("nnls", _TR + f", {S.nonnegative_ctes()} SELECT s.row_id, s.revenue, "
+       f"round({S.least_squares_prediction()}, 2) AS prediction FROM sc s, fit")
 def q_nnls(spark, sf_dir):
     """M1 with ``positive=True``: non-negative coefficients (active set on the Gram)."""
     model, sc = _fitted_linear(spark, sf_dir, "nnls")
-    return sc.select("row_id", "revenue", model.predict_col().alias("prediction"))
+    return sc.select("row_id", "revenue", F.round(model.predict_col(), 2).alias("prediction"))
 
 
 @query("bayes_ridge")
@@ -464,6 +465,22 @@ def q_gbt_predict(spark, sf_dir):
     return sc.select("row_id", "revenue", model.predict_col().alias("prediction"))
 
 
+# Few values each, so that every value has a bin of its own.
+_STUMP_FEATS = ["l_discount", "l_tax", "l_linenumber"]
+_STUMPS, _STUMP_RATE = 6, 0.3
+
+
+@query("gbt_stumps", _TR + f", {S.stumps_sql(_STUMP_FEATS, _STUMPS, _STUMP_RATE)} SELECT s.row_id, s.revenue, "
+       f"round({S.stumps_prediction(_STUMP_FEATS, _STUMPS, _STUMP_RATE)}, 3) AS prediction FROM sc AS s, "
+       + ", ".join(f"s{k}" for k in range(_STUMPS + 1)))
+def q_gbt_stumps(spark, sf_dir):
+    """M2, M5 with one split a tree on features of few values: SQL tries every split."""
+    tr, sc = _split(spark, sf_dir)
+    scaler = fit_scaler(tr, _STUMP_FEATS)
+    model = boost.fit_gbt(tr, scaler, "revenue", n_estimators=_STUMPS, max_depth=1, learning_rate=_STUMP_RATE)
+    return sc.select("row_id", "revenue", F.round(model.predict_col(), 3).alias("prediction"))
+
+
 @query("ngboost_predict")
 def q_ngboost_predict(spark, sf_dir):
     """M3, M6: natural-gradient boosting (8 rounds, depth 3), mean and std per hold-out row."""

@@ -58,28 +58,75 @@ def univariate_candidates_sql(seed: int = 42, sfx: str = "", with_reg: bool = Tr
         f"SELECT 'gauss_' || feature, 2 * k + 1, true, val_rmse, val_nll, feature FROM ev{sfx})")
 
 
-def least_squares_ctes(src: str = "tr") -> str:
-    """CTEs ending in ``fit``: the least-squares weights ``w<i>`` on centred
-    features with their means ``m<i>`` and the target's mean ``my``. Normal
-    equations of the correlations, solved by elimination written out step by step."""
+def moments_cte(src: str = "tr") -> str:
+    """``e0``: means, stds and all correlations of the features and the target (one row)."""
     d = len(FEATS)
-    first = [f"avg({f}) AS m{i}, stddev_pop({f}) AS s{i}, corr({f}, revenue) AS b{i}" for i, f in enumerate(FEATS)]
-    first += [f"corr({FEATS[i]}, {FEATS[j]}) AS a{i}{j}" for i in range(d) for j in range(i + 1, d)]
-    out = [f"e0 AS (SELECT avg(revenue) AS my, stddev_pop(revenue) AS sy, {', '.join(first)} FROM {src})"]
-    out.append("f0 AS (SELECT *, " + ", ".join([f"1.0 AS a{i}{i}" for i in range(d)]
-                                               + [f"a{i}{j} AS a{j}{i}" for i in range(d) for j in range(i + 1, d)]) + " FROM e0)")
-    for k in range(d - 1):  # rows below k lose column k
-        new = [f"a{i}{j} - a{i}{k} * a{k}{j} / a{k}{k} AS a{i}{j}" for i in range(k + 1, d) for j in range(k + 1, d)]
-        new += [f"b{i} - a{i}{k} * b{k} / a{k}{k} AS b{i}" for i in range(k + 1, d)]
-        out.append(f"f{k + 1} AS (SELECT * REPLACE ({', '.join(new)}) FROM f{k})")
-    last = f"f{d - 1}"
-    for k in reversed(range(d)):
-        rest = "".join(f" - a{k}{j} * x{j}" for j in range(k + 1, d))
-        out.append(f"x_{k} AS (SELECT *, (b{k}{rest}) / a{k}{k} AS x{k} FROM {last})")
-        last = f"x_{k}"
-    out.append("fit AS (SELECT my, " + ", ".join(f"m{i}, x{i} * sy / s{i} AS w{i}" for i in range(d)) + f" FROM {last})")
+    cols = [f"avg({f}) AS m{i}, stddev_pop({f}) AS s{i}, corr({f}, revenue) AS b{i}, 1.0 AS a{i}{i}" for i, f in enumerate(FEATS)]
+    cols += [f"corr({FEATS[i]}, {FEATS[j]}) AS a{min(i, j)}{max(i, j)}" for i in range(d) for j in range(i + 1, d)]
+    sym = ", ".join(f"a{i}{j} AS a{j}{i}" for i in range(d) for j in range(i + 1, d))
+    return (f"e00 AS (SELECT avg(revenue) AS my, stddev_pop(revenue) AS sy, {', '.join(cols)} FROM {src}), "
+            f"e0 AS (SELECT *, {sym} FROM e00)")
+
+
+def solve_ctes(kept: list[int], name: str) -> str:
+    """``<name>`` from ``e0``: the weights ``w<i>`` of least squares on the features
+    ``kept`` (0 for the others), the share ``gain`` of the target's variance that
+    they explain, and whether none is negative. Elimination written out step by step."""
+    out, last = [], "e0"
+    for n, k in enumerate(kept[:-1]):  # the rows after k lose column k
+        rest = kept[n + 1:]
+        new = [f"a{i}{j} - a{i}{k} * a{k}{j} / a{k}{k} AS a{i}{j}" for i in rest for j in rest]
+        new += [f"b{i} - a{i}{k} * b{k} / a{k}{k} AS b{i}" for i in rest]
+        out.append(f"{name}_f{n} AS (SELECT * REPLACE ({', '.join(new)}) FROM {last})")
+        last = f"{name}_f{n}"
+    for n in reversed(range(len(kept))):
+        k = kept[n]
+        rest = "".join(f" - a{k}{j} * x{j}" for j in kept[n + 1:])
+        out.append(f"{name}_x{n} AS (SELECT *, (b{k}{rest}) / a{k}{k} AS x{k} FROM {last})")
+        last = f"{name}_x{n}"
+    at = f"{last}." if kept else ""
+    w = ", ".join(f"{at}m{i}, " + (f"x{i} * {at}sy / {at}s{i}" if i in kept else "0.0") + f" AS w{i}" for i in range(len(FEATS)))
+    gain = " + ".join(f"x{i} * e0.b{i}" for i in kept) or "0.0"
+    sound = " AND ".join(f"x{i} >= 0" for i in kept) or "true"
+    out.append(f"{name} AS (SELECT {at}my, {w}, {gain} AS gain, {sound} AS sound FROM {last}{', e0' if kept else ''})")
     return ", ".join(out)
 
 
+def least_squares_ctes(src: str = "tr") -> str:
+    """CTEs ending in ``fit``: least squares on all features."""
+    return f"{moments_cte(src)}, {solve_ctes(list(range(len(FEATS))), 'fit')}"
+
+
+def nonnegative_ctes(src: str = "tr") -> str:
+    """CTEs ending in ``fit``: of all sets of features whose least-squares weights
+    are not negative, the one that explains most."""
+    d = len(FEATS)
+    sets = [[i for i in range(d) if m >> i & 1] for m in range(1 << d)]
+    each = ", ".join(solve_ctes(kept, f"n{m}") for m, kept in enumerate(sets))
+    union = " UNION ALL ".join(f"SELECT * FROM n{m}" for m in range(len(sets)))
+    return f"{moments_cte(src)}, {each}, fit AS (SELECT * FROM ({union}) WHERE sound ORDER BY gain DESC LIMIT 1)"
+
+
 def least_squares_prediction(alias: str = "s") -> str:
     return "my" + "".join(f" + w{i} * ({alias}.{f} - m{i})" for i, f in enumerate(FEATS))
+
+
+def stumps_sql(features: list[str], rounds: int, rate: float) -> str:
+    """CTEs ``s0`` (the mean) and ``s1`` to ``s<rounds>``: boosted trees of one split
+    on the ``tr`` rows, the best split of each round found by trying every value."""
+    out = ["s0 AS (SELECT avg(revenue) AS mean FROM tr)"]
+    for r in range(1, rounds + 1):
+        used = ", ".join(f"s{k}" for k in range(r))
+        out.append(f"g{r} AS (SELECT {', '.join(features)}, revenue - ({stumps_prediction(features, r - 1, rate)}) AS g FROM tr AS s, {used})")
+        values = " UNION ALL ".join(f"SELECT {i} AS f, CAST({f} AS DOUBLE) AS v, count(*) AS n, sum(g) AS s FROM g{r} GROUP BY 2"
+                                    for i, f in enumerate(features))
+        out.append(f"c{r} AS (SELECT f, v, sum(n) OVER w AS ln, sum(s) OVER w AS ls, sum(n) OVER (PARTITION BY f) AS tn, "
+                   f"sum(s) OVER (PARTITION BY f) AS ts FROM ({values}) WINDOW w AS (PARTITION BY f ORDER BY v))")
+        out.append(f"s{r} AS (SELECT f AS f{r}, v AS v{r}, ls / ln AS l{r}, (ts - ls) / (tn - ln) AS r{r} FROM c{r} WHERE ln < tn "
+                   "ORDER BY ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln) DESC, f, v LIMIT 1)")
+    return ", ".join(out)
+
+
+def stumps_prediction(features: list[str], rounds: int, rate: float, alias: str = "s") -> str:
+    pick = lambda r: f"CASE f{r} " + " ".join(f"WHEN {i} THEN {alias}.{f}" for i, f in enumerate(features)) + " END"
+    return "mean" + "".join(f" + {rate} * CASE WHEN {pick(r)} <= v{r} THEN l{r} ELSE r{r} END" for r in range(1, rounds + 1))
