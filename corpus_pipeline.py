@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tablefit.llm import decontaminate, exact_dedup, jaccard_join, packing, quality
-from tablefit.llm.common import keep_table, ship, table
+from tablefit.llm.common import discard, keep_table, ship, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, kept = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = keep_table(stage(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        kept.append(docs)
+    packed = STAGES[-1][1](spark, docs, sf_dir)  # packing has written its pieces by now
+    discard(*kept)
+    return packed

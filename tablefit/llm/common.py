@@ -51,7 +51,17 @@ def keep_table(df: DataFrame, name: str) -> DataFrame:
     that survives the loss of executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._kept_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``keep_table`` that nothing reads any more."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t._kept_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_key(text_col: str | Column) -> Column:
@@ -67,4 +77,4 @@ def drop_rows(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> D
             .drop("__key"))
 
 
-__all__ = ["LOWER", "UPPER", "drop_rows", "keep_table", "lower_ascii", "scratch_path", "shared_dir", "ship", "table", "text_key", "text_or_empty"]
+__all__ = ["LOWER", "UPPER", "discard", "drop_rows", "keep_table", "lower_ascii", "scratch_path", "shared_dir", "ship", "table", "text_key", "text_or_empty"]

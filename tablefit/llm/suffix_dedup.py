@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablefit.llm.common import keep_table, table, text_key, text_or_empty
+from tablefit.llm.common import discard, keep_table, table, text_key, text_or_empty
 
 WINDOW = 200
 GRAM = 32
@@ -201,9 +201,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .select("cid", F.struct((start + F.col("x.a")).alias("a"), (start + F.col("x.b")).alias("b")).alias("span")))
     spans = found.groupBy("cid").agg(F.collect_list("span").alias("spans"))
     done = texts.select("cid", "text").join(spans, "cid").mapInArrow(_remove, "cid long, n_removed long, n_spans long, kept string")
-    return (rows.select("cid", "id", "n_bytes", "sha").join(done, "cid", "left")
-            .select("id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
-                    F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept", "sha").alias("kept_sha256")))
+    out = keep_table(rows.select("cid", "id", "n_bytes", "sha").join(done, "cid", "left")
+                     .select("id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
+                             F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
+                             F.coalesce("kept", "sha").alias("kept_sha256")), "suffix-result")
+    discard(rows, places, segments, texts, marks)
+    return out
 
 
 def _marks(texts: DataFrame, segments: DataFrame) -> DataFrame:
