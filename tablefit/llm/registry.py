@@ -17,7 +17,6 @@ QUERIES = {
     "op10_quality": quality.query,
 }
 ORACLE = {
-    "op4_suffix_dedup": suffix_dedup.query,
     "op5_license_scan": licenses.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
 }
