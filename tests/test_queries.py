@@ -10,8 +10,6 @@ import __spark_entry__ as E
 
 from conftest import SF_SMALL
 
-SLOW = {"ngboost_predict", "gbt_predict", "trial_search", "logistic_scaled"}
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -46,7 +44,7 @@ def test_query_matches_oracle(spark, con, name):
     pd.testing.assert_frame_equal(got, want, check_dtype=False, check_exact=True)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
 def test_rows_only_queries_run(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     assert df.count() > 0
