@@ -124,12 +124,13 @@ def ancestors(d: Column) -> Column:
 
 
 def license_scan(docs: DataFrame, path: Column, is_license_file: Column, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
+                 text_col: str = "text", find=notices) -> DataFrame:
     """``id, license, origin, score``: origin is ``notice``, ``inherited`` or ``none``.
 
-    ``is_license_file`` may use ``pos``, the place of the notice in the text.
+    ``is_license_file`` may use ``pos``, the place of the notice in the text;
+    ``find`` gives the notices of the texts, as ``notices`` does.
     """
-    found = notices(docs, text_col)
+    found = find(docs, text_col)
     rows = docs.select(F.col(id_col).alias("id"), path.alias("path"), text_key(text_col).alias("key"))
     own = keep_table(rows.join(found, "key", "left").withColumn("dir", directory(F.col("path")))
                      .withColumn("speaks", F.coalesce(is_license_file, F.lit(False)) & F.col("license").isNotNull())
@@ -148,15 +149,25 @@ def license_scan(docs: DataFrame, path: Column, is_license_file: Column, id_col:
                     F.coalesce("score", "given_score").alias("score")))
 
 
-def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents lie in ``source/<thousand>/<hundred>/<id>.txt``, those whose ID
-    ends in 0 one level higher; one that opens with a notice stands for the
-    licence file of its directory."""
-    docs = table(spark, sf_dir, "documents")
-    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.expr("doc_id div 1000").cast("string"),
+def document_path() -> Column:
+    """``source/<thousand>/<hundred>/<id>.txt``; documents whose ID ends in 0 lie one level higher."""
+    return F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.expr("doc_id div 1000").cast("string"),
                        F.when(F.col("doc_id") % 10 != 0, F.expr("doc_id div 100").cast("string")),
                        F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
-    return license_scan(docs, path, F.col("pos") == 0).select(F.col("id").alias("doc_id"), "license", "origin", "score")
+
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents lie by ``document_path``; one that opens with a notice stands
+    for the licence file of its directory."""
+    docs = table(spark, sf_dir, "documents")
+    return license_scan(docs, document_path(), F.col("pos") == 0).select(F.col("id").alias("doc_id"), "license", "origin", "score")
+
+
+def query_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``query``, but the licence files are the documents whose ID ends in 0
+    and that hold a notice, wherever it stands."""
+    docs = table(spark, sf_dir, "documents")
+    return license_scan(docs, document_path(), F.col("id") % 10 == 0).select(F.col("id").alias("doc_id"), "license", "origin", "score")
 
 
 def _oracle() -> str:

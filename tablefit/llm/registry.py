@@ -10,6 +10,7 @@ QUERIES = {
     "op3_jaccard_join": jaccard_join.query,
     "op4_suffix_dedup": suffix_dedup.query,
     "op5_license_scan": licenses.query,
+    "op5_license_files": licenses.query_files,
     "op6_warc": warc.query,
     "op7_shards": shard.query,
     "op8_exact_dedup": exact_dedup.query,
