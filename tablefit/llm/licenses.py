@@ -164,10 +164,12 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``query``, but the licence files are the documents whose ID ends in 0
-    and that hold a notice, wherever it stands."""
+    """The licence files are the documents whose ID ends in 0 and that hold a
+    notice, wherever it stands; notices are found by ``license_texts``."""
+    from tablefit.llm import license_texts
+
     docs = table(spark, sf_dir, "documents")
-    return license_scan(docs, document_path(), F.col("id") % 10 == 0).select(F.col("id").alias("doc_id"), "license", "origin", "score")
+    return license_scan(docs, document_path(), F.col("id") % 10 == 0, find=license_texts.notices).select(F.col("id").alias("doc_id"), "license", "origin", "score")
 
 
 def _oracle() -> str:
