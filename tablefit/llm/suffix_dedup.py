@@ -13,7 +13,9 @@ Windows with a neighbour that shares ``WINDOW`` bytes are repeated.
 
 A string that stands in very many different segments (a line that many documents
 hold) is dealt further: each group of ``NARROW`` neighbouring windows by the bytes
-common to all of them, which again equal windows share.
+common to all of them, which again equal windows share. Equal groups are folded,
+with their count, before the shuffle; where more than ``HOT`` different ones still
+share those bytes, windows meet one by one, as a whole.
 
 Defined results: a null text is empty, texts below ``WINDOW`` bytes lose nothing;
 null IDs and repeated rows are judged like others (copies repeat each other); an
@@ -189,7 +191,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not rows.groupBy("id", "tkey").count().filter("count > 1").isEmpty():
         texts = texts.dropDuplicates(["cid"])  # equal rows found each other's texts
     texts = keep_table(texts, "suffix-texts")
-    marks = keep_table(_marks(texts, segments), "suffix-marks")
+    marks = _marks(texts, segments)
     known = segments.select("key", "seg", "n").join(marks.groupBy("key", "seg").agg(F.flatten(F.collect_list("spans")).alias("spans")),
                                                    ["key", "seg"], "left")
     start = F.shiftright("pack", 16)
@@ -209,11 +211,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return out
 
 
-def _marks(texts: DataFrame, segments: DataFrame) -> DataFrame:
-    """``key, seg, spans``: what suffix sorting finds in the different segments."""
-    size = segments.agg(F.sum(F.shiftright("one.pack", 8).bitwiseAND(F.lit(255)) + WINDOW).alias("b")).first()["b"] or 0
-    shards = max(1, -(-size // SHARD))
-
+def _pieces(hot: bool):
+    """Function for ``mapInArrow``: the parts of the hot strings' segments, or of the others."""
     def pieces(batches):
         import pyarrow as pa
 
@@ -222,12 +221,44 @@ def _marks(texts: DataFrame, segments: DataFrame) -> DataFrame:
             for text, cuts in zip(b.column("text"), b.column("cuts")):
                 raw = text.as_py().encode("utf-8", "surrogatepass")
                 for c in cuts.as_py():
-                    for shard, offset, piece in cut(raw, c["key"], c["pack"], c["hot"]):
-                        for v, x in zip(out, (shard, c["key"], c["seg"], offset, piece)):
-                            v.append(x)
+                    if c["hot"] == hot:
+                        for shard, offset, piece in cut(raw, c["key"], c["pack"], hot):
+                            for v, x in zip(out, (shard, c["key"], c["seg"], offset, piece)):
+                                v.append(x)
             yield pa.record_batch([*[pa.array(v, pa.int64()) for v in out[:4]], pa.array(out[4], pa.binary())],
                                   ["shard", "key", "seg", "offset", "piece"])
 
+    return pieces
+
+
+def _hot_marks(hot: DataFrame):
+    """Pieces of ``hot`` left to sort, and the spans (``key, seg, spans``) that need no sort:
+    equal pieces, folded before their bytes are shuffled, and, where more than
+    ``HOT`` different ones share a shard's bytes, windows that meet as a whole."""
+    folded = keep_table(hot.groupBy("shard", "piece").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "seg", "offset")).alias("one")),
+                        "suffix-folded")
+    span = lambda a, size: F.array(F.struct(a.alias("a"), (a + size).cast("long").alias("b"))).alias("spans")
+    twice = folded.filter("n > 1").select("shard", F.md5("piece").alias("h"))
+    found = (hot.select("shard", F.md5("piece").alias("h"), "key", "seg", "offset", F.length("piece").alias("size")).join(twice, ["shard", "h"])
+             .select("key", "seg", span(F.col("offset"), F.col("size"))))
+    # One row here per more than HOT pieces.
+    many = keep_table(folded.groupBy("shard").count().filter(F.col("count") > HOT).select("shard"), "suffix-many")
+    windows = keep_table(
+        folded.join(F.broadcast(many), "shard")
+        .select("shard", "one", "piece", F.explode(F.sequence(F.lit(0), F.length("piece") - WINDOW)).alias("o"))
+        .select("shard", F.expr(f"md5(substring(piece, o + 1, {WINDOW}))").alias("w"), "one.key", "one.seg", (F.col("one.offset") + F.col("o")).alias("at")),
+        "suffix-windows")
+    met = windows.groupBy("shard", "w").count().filter("count > 1").select("shard", "w")
+    found = found.union(windows.join(met, ["shard", "w"]).select("key", "seg", span(F.col("at"), F.lit(WINDOW))))
+    rest = folded.join(F.broadcast(many), "shard", "left_anti").select("shard", "one.key", "one.seg", "one.offset", "piece")
+    return rest, found, [folded, many, windows]
+
+
+def _marks(texts: DataFrame, segments: DataFrame) -> DataFrame:
+    """``key, seg, spans``: what suffix sorting finds in the different segments."""
+    size = segments.agg(F.sum(F.shiftright("one.pack", 8).bitwiseAND(F.lit(255)) + WINDOW).alias("b")).first()["b"] or 0
+    shards = max(1, -(-size // SHARD))
+
     def sort(batches):
         import pyarrow as pa
 
@@ -243,9 +274,15 @@ def _marks(texts: DataFrame, segments: DataFrame) -> DataFrame:
         yield from pa.table([t["key"].take(pa.array(hit, pa.int64())), t["seg"].take(pa.array(hit, pa.int64())),
                              pa.array(spans, kind)], ["key", "seg", "spans"]).to_batches()
 
-    cutting = texts.filter("cuts IS NOT NULL").select("text", "cuts").mapInArrow(
-        pieces, "shard long, key long, seg long, offset long, piece binary")
-    return cutting.repartition(shards, "shard").mapInArrow(sort, "key long, seg long, spans array<struct<a:long,b:long>>")
+    kind = "shard long, key long, seg long, offset long, piece binary"
+    cutting = texts.filter("cuts IS NOT NULL").select("text", "cuts")
+    hot = keep_table(cutting.filter(F.exists("cuts", lambda c: c["hot"])).mapInArrow(_pieces(True), kind), "suffix-hot")
+    rest, found, tables = _hot_marks(hot)
+    ordered = (cutting.filter(F.exists("cuts", lambda c: ~c["hot"])).mapInArrow(_pieces(False), kind).union(rest)
+               .repartition(shards, "shard").mapInArrow(sort, "key long, seg long, spans array<struct<a:long,b:long>>"))
+    out = keep_table(ordered.union(found), "suffix-marks")
+    discard(hot, *tables)
+    return out
 
 
 def _remove(batches):
