@@ -39,6 +39,7 @@ SLICE = 1 << 20  # bytes hashed at a time
 SHARD = 2 << 20  # bytes of segments sorted together, about (raise it where tasks have more memory)
 HOT = 2048  # different segments of one string
 NARROW = 16
+SPANS = "array<struct<start:long,end:long>>"
 
 _TABLES: dict = {}
 
@@ -167,8 +168,9 @@ def sorted_marks(strings: list[bytes], window: int = WINDOW) -> list[list[tuple[
     return out
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n_bytes, n_removed, n_spans, kept_sha256``, one row per input row."""
+def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, tkey, n_bytes, spans, kept, sha``, one row per input row: the removed byte ranges
+    [start, end) in order, the bytes that stay (null where all do) and the input's SHA-256."""
     rows = keep_table(scan(docs, id_col, text_col), "suffix-runs")
     runs_ = rows.select("cid", F.explode(F.arrays_zip("keys", "segs", "packs")).alias("r")).select(
         "cid", F.col("r.keys").alias("key"), F.col("r.segs").alias("seg"), F.col("r.packs").alias("pack"))
@@ -202,15 +204,33 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         some.filter("n = 1").withColumn("x", F.explode("spans"))
         .select("cid", F.struct((start + F.col("x.a")).alias("a"), (start + F.col("x.b")).alias("b")).alias("span")))
     spans = found.groupBy("cid").agg(F.collect_list("span").alias("spans"))
-    done = texts.select("cid", "text").join(spans, "cid").mapInArrow(_remove, "cid long, n_removed long, n_spans long, kept string")
-    out = keep_table(rows.select("cid", "id", "n_bytes", "sha").join(done, "cid", "left")
-                     .select("id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
-                             F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
-                             F.coalesce("kept", "sha").alias("kept_sha256")), "suffix-result")
+    done = texts.select("cid", "text").join(spans, "cid").mapInArrow(_remove, f"cid long, spans {SPANS}, kept binary")
+    out = keep_table(rows.select("cid", "id", "tkey", "n_bytes", "sha").join(done, "cid", "left")
+                     .select("id", "tkey", "n_bytes", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"), "kept", "sha"),
+                     "suffix-result")
     discard(rows, places, segments, texts, marks)
     return out
 
 
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, n_bytes, n_removed, n_spans, kept_sha256`` from the rows of ``removed_spans``."""
+    size = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return removed_spans(docs, id_col, text_col).select(
+        "id", "n_bytes", size.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.coalesce(F.sha2("kept", 256), "sha").alias("kept_sha256"))
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the text that stays, in the same columns. A character that is cut
+    in two becomes U+FFFD; a null text stays null."""
+    gone = (removed_spans(docs, id_col, text_col).filter("kept IS NOT NULL")
+            .groupBy(F.col("id").alias("__id"), F.col("tkey").alias("__tkey")).agg(F.any_value("kept").alias("__kept")))  # equal rows lose the same
+    kept = F.make_valid_utf8(F.col("__kept").cast("string"))
+    return (docs.withColumn("__key", text_key(text_col))
+            .join(gone, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__tkey")), "left")
+            .select(*[F.coalesce(kept, F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns]))
+
+
 def _pieces(hot: bool):
     """Function for ``mapInArrow``: the parts of the hot strings' segments, or of the others."""
     def pieces(batches):
@@ -288,26 +308,21 @@ def _marks(texts: DataFrame, segments: DataFrame) -> DataFrame:
 def _remove(batches):
     import pyarrow as pa
 
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for b in batches:
-        removed, number, kept = [], [], []
+        removed, kept = [], []
         for text, spans in zip(b.column("text"), b.column("spans")):
             raw = text.as_py().encode("utf-8", "surrogatepass")
-            h, at, n, cut_bytes = hashlib.sha256(), 0, 0, 0
+            out = []
             for a, e in sorted((s["a"], s["b"]) for s in spans.as_py()):
-                if n == 0 or a > at:
-                    h.update(raw[at:a])
-                    n += 1
-                    cut_bytes += e - a
-                    at = e
-                elif e > at:
-                    cut_bytes += e - at
-                    at = e
-            h.update(raw[at:])
-            removed.append(cut_bytes)
-            number.append(n)
-            kept.append(h.hexdigest())
-        yield pa.record_batch([b.column("cid"), pa.array(removed, pa.int64()), pa.array(number, pa.int64()), pa.array(kept)],
-                              ["cid", "n_removed", "n_spans", "kept"])
+                if out and a <= out[-1]["end"]:
+                    out[-1]["end"] = max(e, out[-1]["end"])
+                else:
+                    out.append({"start": a, "end": e})
+            edges = [0, *[x for s in out for x in (s["start"], s["end"])], len(raw)]
+            removed.append(out)
+            kept.append(b"".join(raw[i:j] for i, j in zip(edges[::2], edges[1::2])))
+        yield pa.record_batch([b.column("cid"), pa.array(removed, kind), pa.array(kept, pa.binary())], ["cid", "spans", "kept"])
 
 
 def query(spark, sf_dir) -> DataFrame:
