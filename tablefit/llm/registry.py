@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablefit.llm import centroids, decontaminate, exact_dedup, jaccard_join, licenses, packing, quality, shard, suffix_dedup, token_counts, warc
+from tablefit.llm import centroids, conversations, decontaminate, exact_dedup, jaccard_join, licenses, packing, quality, shard, suffix_dedup, token_counts, warc
 
 QUERIES = {
     "op1_packing": packing.query,
@@ -17,11 +17,13 @@ QUERIES = {
     "op9_decontamination": decontaminate.query,
     "op10_quality": quality.query,
     "op11_centroids": centroids.query,
+    "op12_conversations": conversations.query,
 }
 ORACLE = {
     "op5_license_scan": licenses.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
     "op11_centroids": centroids.ORACLE,
+    "op12_conversations": conversations.ORACLE,
 }
 
 
