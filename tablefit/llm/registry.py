@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tablefit.llm import centroids, conversations, decontaminate, exact_dedup, jaccard_join, licenses, packing, quality, shard, suffix_dedup, token_counts, warc
+from tablefit.llm import centroids, conversations, decontaminate, exact_dedup, grouping, jaccard_join, licenses, packing, quality, shard, suffix_dedup, token_counts, warc
 
 QUERIES = {
     "op1_packing": packing.query,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_quality": quality.query,
     "op11_centroids": centroids.query,
     "op12_conversations": conversations.query,
+    "op13_grouping": grouping.query,
 }
 ORACLE = {
     "op5_license_scan": licenses.ORACLE,
