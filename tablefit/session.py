@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -63,12 +66,33 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send the package's code to the executors, once per context: functions that
+    run in their Python workers are looked up in it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tablefit_code_sent", False):
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    at = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tablefit-package-")), "tablefit_package.zip")
+    with zipfile.ZipFile(at, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(at)
+    sc._tablefit_code_sent = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (never reused)."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/tablefit/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a table of this library's own that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def spread(df, min_partitions: int | None = None):
     """Round-robin repartition only when ``df`` has fewer partitions than the
     cluster's parallelism (a file with one row group scans as one task).
