@@ -441,24 +441,29 @@ def q_nnls(spark, sf_dir):
     return sc.select("row_id", "revenue", F.round(model.predict_col(), 2).alias("prediction"))
 
 
-@query("bayes_ridge")
+_MU, _SIGMA = S.ridge_columns()
+# A recursive query: the keyword is needed once, at the start.
+_RIDGE = _TR.replace("WITH ", "WITH RECURSIVE ", 1) + f", {S.evidence_ctes()}"
+
+
+@query("bayes_ridge", f"{_RIDGE} SELECT s.row_id, s.revenue, round({_MU}, 2) AS prediction FROM sc AS s, ridge")
 def q_bayes_ridge(spark, sf_dir):
     """M4, M5: Bayesian ridge posterior mean on the hold-out part."""
     model, sc = _fitted_linear(spark, sf_dir, "bayes")
-    return sc.select("row_id", "revenue", model.predict_col().alias("prediction"))
+    return sc.select("row_id", "revenue", F.round(model.predict_col(), 2).alias("prediction"))
 
 
-@query("bayes_ridge_dist")
+@query("bayes_ridge_dist", f"{_RIDGE} SELECT s.row_id, s.revenue, round({_MU}, 2) AS mu, round({_SIGMA}, 3) AS sigma FROM sc AS s, ridge")
 def q_bayes_ridge_dist(spark, sf_dir):
     """M6: predictive mean and std per hold-out row."""
     model, sc = _fitted_linear(spark, sf_dir, "bayes")
     mu, sd = model.dist_cols()
-    return sc.select("row_id", "revenue", mu.alias("mu"), sd.alias("sigma"))
+    return sc.select("row_id", "revenue", F.round(mu, 2).alias("mu"), F.round(sd, 3).alias("sigma"))
 
 
 @query("gbt_predict")
 def q_gbt_predict(spark, sf_dir):
-    """M2, M5: gradient-boosted trees (20 trees, depth 3) scored as CASE WHEN expressions."""
+    """M2, M5: gradient-boosted trees (20 trees, depth 3) all of a tree's nodes in arrays, per Arrow batch."""
     tr, sc = _split(spark, sf_dir)
     scaler = fit_scaler(tr, SPEC.features)
     model = boost.fit_gbt(tr, scaler, "revenue", n_estimators=20, max_depth=3, learning_rate=0.1, seed=SEED)
@@ -481,6 +486,30 @@ def q_gbt_stumps(spark, sf_dir):
     return sc.select("row_id", "revenue", F.round(model.predict_col(), 3).alias("prediction"))
 
 
+_DEEP_ROUNDS, _DEEP = 6, 3
+
+
+@query("gbt_depth3", _TR + f", {S.boosted_sql(_STUMP_FEATS, _DEEP_ROUNDS, _DEEP, _STUMP_RATE)} SELECT s.row_id, s.revenue, "
+       f"round(pred, 3) AS prediction FROM sc AS s JOIN cells ON {S.cell_join(_STUMP_FEATS)} JOIN p{_DEEP_ROUNDS} USING (c)")
+def q_gbt_depth3(spark, sf_dir):
+    """M2, M5: six trees of depth 3; SQL builds every level by trying every value in every node."""
+    tr, sc = _split(spark, sf_dir)
+    scaler = fit_scaler(tr, _STUMP_FEATS)
+    model = boost.fit_gbt(tr, scaler, "revenue", n_estimators=_DEEP_ROUNDS, max_depth=_DEEP, learning_rate=_STUMP_RATE)
+    return sc.select("row_id", "revenue", F.round(model.predict_col(), 3).alias("prediction"))
+
+
+@query("ngboost_one_round", _TR + f", {S.natural_round_sql(_STUMP_FEATS, _DEEP, _STUMP_RATE)} SELECT s.row_id, s.revenue, "
+       f"round(mu, 3) AS mu, round(sigma, 3) AS sigma FROM sc AS s JOIN cells ON {S.cell_join(_STUMP_FEATS)} JOIN dist USING (c)")
+def q_ngboost_one_round(spark, sf_dir):
+    """M3, M6: both trees, the line search and the step of one natural-gradient round, against SQL."""
+    tr, sc = _split(spark, sf_dir)
+    scaler = fit_scaler(tr, _STUMP_FEATS)
+    model = boost.fit_ngboost(tr, scaler, "revenue", "row_id", n_estimators=1, learning_rate=_STUMP_RATE, base_max_depth=_DEEP, seed=SEED)
+    mu, sd = model.dist_cols()
+    return sc.select("row_id", "revenue", F.round(mu, 3).alias("mu"), F.round(sd, 3).alias("sigma"))
+
+
 @query("ngboost_predict")
 def q_ngboost_predict(spark, sf_dir):
     """M3, M6: natural-gradient boosting (8 rounds, depth 3), mean and std per hold-out row."""
@@ -492,11 +521,26 @@ def q_ngboost_predict(spark, sf_dir):
     return sc.select("row_id", "revenue", mu.alias("mu"), sd.alias("sigma"))
 
 
+@query("gbt_declared")
+def q_gbt_declared(spark, sf_dir):
+    """M2, M5 at the declared maximum: 200 trees of depth 6."""
+    tr, sc = _split(spark, sf_dir)
+    scaler = fit_scaler(tr, SPEC.features)
+    model = boost.fit_gbt(tr, scaler, "revenue", n_estimators=200, max_depth=6, learning_rate=0.1, seed=SEED)
+    return sc.select("row_id", "revenue", model.predict_col().alias("prediction"))
+
+
+#: Rounds of the boosters in ``trial_search``; all else is drawn from the declared ranges.
+_SEARCH_ROUNDS = 10
+
+
 @query("trial_search")
 def q_trial_search(spark, sf_dir):
-    """15 seeded trials each for the linear and Bayesian ridge families; the trial log."""
+    """15 seeded trials of each of the four families on one split; the trial log."""
     tr, _ = _split(spark, sf_dir)
-    results = search.run_searches(tr, SPEC, ["linear_regression", "bayesian_ridge"], n_trials=15, seed=SEED)
+    rounds = {"n_estimators": _SEARCH_ROUNDS}
+    results = search.run_searches(tr, SPEC, list(search.SPACES), n_trials=15, seed=SEED,
+                                  overrides={"gradient_boosting": rounds, "ngboost": rounds})
     return search.trials_frame(spark, results)
 
 

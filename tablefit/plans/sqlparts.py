@@ -130,3 +130,117 @@ def stumps_sql(features: list[str], rounds: int, rate: float) -> str:
 def stumps_prediction(features: list[str], rounds: int, rate: float, alias: str = "s") -> str:
     pick = lambda r: f"CASE f{r} " + " ".join(f"WHEN {i} THEN {alias}.{f}" for i, f in enumerate(features)) + " END"
     return "mean" + "".join(f" + {rate} * CASE WHEN {pick(r)} <= v{r} THEN l{r} ELSE r{r} END" for r in range(1, rounds + 1))
+
+
+def tree_ctes(name: str, src: str, d: int, depth: int) -> str:
+    """CTEs ending in ``<name>`` (cell ``c`` and leaf ``value``): the regression tree
+    of ``src(c, f0.., n, s)``, level by level; the best cut of every node is found by
+    trying every value. Cells without rows (``n`` 0) only follow the cuts."""
+    out = [f"{name}_0 AS (SELECT *, 1 AS node FROM {src})"]
+    for level in range(depth):
+        t = f"{name}_{level}"
+        values = " UNION ALL ".join(f"SELECT node, {i} AS f, CAST(f{i} AS DOUBLE) AS v, n, s FROM {t}" for i in range(d))
+        pick = "CASE b.f " + " ".join(f"WHEN {i} THEN f{i}" for i in range(d)) + " END"
+        out.append(f"{t}h AS (SELECT node, f, v, sum(n) AS n, sum(s) AS s FROM ({values}) GROUP BY node, f, v HAVING sum(n) > 0)")
+        out.append(f"{t}w AS (SELECT node, f, v, sum(n) OVER o AS ln, sum(s) OVER o AS ls, sum(n) OVER p AS tn, sum(s) OVER p AS ts FROM {t}h "
+                   "WINDOW o AS (PARTITION BY node, f ORDER BY v), p AS (PARTITION BY node, f))")
+        out.append(f"{t}g AS (SELECT *, ls * ls / ln + (ts - ls) * (ts - ls) / (tn - ln) - ts * ts / tn AS gain FROM {t}w WHERE ln < tn)")
+        out.append(f"{t}b AS (SELECT node, f, v FROM {t}g WHERE gain > 1e-12 * greatest(1.0, abs(ts * ts / tn)) "
+                   "QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, v) = 1)")
+        out.append(f"{name}_{level + 1} AS MATERIALIZED (SELECT t.* EXCLUDE (node), CASE WHEN b.f IS NULL THEN t.node "
+                   f"WHEN {pick} <= b.v THEN 2 * t.node ELSE 2 * t.node + 1 END AS node FROM {t} AS t LEFT JOIN {t}b AS b ON t.node = b.node)")
+    out.append(f"{name} AS MATERIALIZED (SELECT c, sum(s) OVER w / sum(n) OVER w AS value FROM {name}_{depth} WINDOW w AS (PARTITION BY node))")
+    return ", ".join(out)
+
+
+def cells_ctes(features: list[str], sums: dict[str, str]) -> str:
+    """CTE ``cells(c, f0.., n, <sums>)``: all combinations of values in ``tr`` or
+    ``sc``, with sums over the ``tr`` rows (``n``: how many)."""
+    cols = ", ".join(f"{f} AS f{i}" for i, f in enumerate(features))
+    names = ", ".join(f"f{i}" for i in range(len(features)))
+    own = "".join(f", coalesce(sum({expr}) FILTER (train), 0.0) AS {name}" for name, expr in sums.items())
+    return (f"cells AS MATERIALIZED (SELECT row_number() OVER () AS c, * FROM (SELECT {names}, count(*) FILTER (train) AS n{own} FROM "
+            f"(SELECT {cols}, revenue AS y, true AS train FROM tr UNION ALL SELECT {cols}, revenue, false FROM sc), start GROUP BY {names}))")
+
+
+def cell_join(features: list[str], row: str = "s", cell: str = "cells") -> str:
+    return " AND ".join(f"{row}.{f} = {cell}.f{i}" for i, f in enumerate(features))
+
+
+def boosted_sql(features: list[str], rounds: int, depth: int, rate: float) -> str:
+    """CTEs ending in ``p<rounds>(c, pred)``: squared-loss boosted trees on the cells."""
+    d = len(features)
+    out = ["start AS (SELECT avg(revenue) AS mean FROM tr)", cells_ctes(features, {"sy": "y"}), "p0 AS (SELECT c, mean AS pred FROM cells, start)"]
+    names = ", ".join(f"f{i}" for i in range(d))
+    for r in range(1, rounds + 1):
+        out.append(f"g{r} AS (SELECT c, {names}, n, sy - n * pred AS s FROM cells JOIN p{r - 1} USING (c))")
+        out.append(tree_ctes(f"t{r}", f"g{r}", d, depth))
+        out.append(f"p{r} AS (SELECT c, pred + {rate} * value AS pred FROM p{r - 1} JOIN t{r} USING (c))")
+    return ", ".join(out)
+
+
+def natural_round_sql(features: list[str], depth: int, rate: float, tol: float = 1e-4) -> str:
+    """CTEs ending in ``dist(c, mu, sigma)``: one round of natural-gradient boosting
+    of Normal(mu, exp(s)): a tree for each parameter and the line search."""
+    names = ", ".join(f"f{i}" for i in range(len(features)))
+    z2 = "power((y - mu0) / sd0, 2)"
+    loss = ("(sum(n) * (0.5 * ln(2 * pi()) + ln(sd0)) + sum(-k * ps * n + exp(2 * k * ps) * (a + 2 * k * pm * b + k * k * pm * pm * n / (sd0 * sd0)) / 2)) / sum(n)")
+    return ", ".join([
+        "start AS (SELECT avg(revenue) AS mu0, stddev_pop(revenue) AS sd0 FROM tr)",
+        cells_ctes(features, {"gm": "mu0 - y", "gs": f"(1 - {z2}) / 2", "a": z2, "b": "(y - mu0) / (sd0 * sd0)"}),
+        f"gm AS (SELECT c, {names}, n, gm AS s FROM cells)", tree_ctes("tm", "gm", len(features), depth),
+        f"gs AS (SELECT c, {names}, n, gs AS s FROM cells)", tree_ctes("ts", "gs", len(features), depth),
+        "steps AS (SELECT c, n, a, b, tm.value AS pm, ts.value AS ps FROM cells JOIN tm USING (c) JOIN ts USING (c))",
+        f"losses AS (SELECT k, {loss} AS loss, k * sum(n * sqrt(pm * pm + ps * ps)) / sum(n) AS norm FROM steps, start, "
+        "(SELECT power(2.0, unnest(range(-20, 10))) AS k UNION ALL SELECT 0.0) GROUP BY k, sd0)",
+        "before AS (SELECT loss AS loss0 FROM losses WHERE k = 0)",
+        "up AS (SELECT min(k) AS k1 FROM losses, before WHERE k >= 1 AND (loss > loss0 OR NOT isfinite(loss) OR k > 256))",
+        f"scale AS (SELECT coalesce(max(k), power(2.0, -20)) AS k FROM losses, before, up WHERE k <= k1 AND k > power(2.0, -20) AND isfinite(loss) "
+        f"AND (loss < loss0 OR norm < {tol}))",
+        f"dist AS (SELECT c, mu0 - {rate} * k * pm AS mu, sd0 * exp(-{rate} * k * ps) AS sigma FROM steps, start, scale)"])
+
+
+def _inverted(inner: str, d: int) -> str:
+    """``inner`` with its columns ``g<i><j>`` replaced by the inverse matrix (Gauss-Jordan, one pivot a layer)."""
+    for k in range(d):
+        new = [f"1 / g{k}{k} AS g{k}{k}"]
+        for i in range(d):
+            if i != k:
+                new += [f"g{k}{i} / g{k}{k} AS g{k}{i}", f"-g{i}{k} / g{k}{k} AS g{i}{k}"]
+                new += [f"g{i}{j} - g{i}{k} * g{k}{j} / g{k}{k} AS g{i}{j}" for j in range(d) if j != k]
+        inner = f"SELECT * REPLACE ({', '.join(new)}) FROM ({inner})"
+    return inner
+
+
+def evidence_ctes(alpha_1=1e-6, alpha_2=1e-6, lambda_1=1e-6, lambda_2=1e-6, max_iter: int = 300, tol: float = 1e-3) -> str:
+    """CTEs ending in ``ridge`` (one row): weights ``w<i>``, noise precision ``alpha``
+    and the posterior covariance ``v<i><j>`` of the Bayesian ridge on ``tr``, by
+    evidence iterations in a recursive query, each inverting a small matrix."""
+    d = len(FEATS)
+    gram = ", ".join(f"n * a{i}{j}" + (" + lam / alpha" if i == j else "") + f" AS g{i}{j}" for i in range(d) for j in range(d))
+    solved = _inverted(f"SELECT *, {gram} FROM steps, e0, en", d)
+    weight = [" + ".join(f"g{i}{j} * n * b{j} * sy" for j in range(d)) for i in range(d)]
+    weights = ", ".join(f"{w} AS c{i}" for i, w in enumerate(weight))
+    rss = ("n * sy * sy - 2 * (" + " + ".join(f"c{i} * n * b{i} * sy" for i in range(d)) + ") + "
+           + " + ".join(f"c{i} * c{j} * n * a{i}{j}" for i in range(d) for j in range(d)))
+    trace = " + ".join(f"g{i}{i}" for i in range(d))
+    square = " + ".join(f"c{i} * c{i}" for i in range(d))
+    moved = " + ".join(f"abs(c{i} - w{i})" for i in range(d))
+    inner = (f"SELECT *, {d} - lam / alpha * ({trace}) AS gamma, greatest({rss}, 0) AS rss FROM (SELECT *, {weights} FROM ({solved}) WHERE NOT over)")
+    step = (f"SELECT it + 1, (n - gamma + 2 * {alpha_1}) / (rss + 2 * {alpha_2}), (gamma + 2 * {lambda_1}) / ({square} + 2 * {lambda_2}), "
+            f"{', '.join(f'c{i}' for i in range(d))}, coalesce({moved} < {tol}, false) OR it + 1 >= {max_iter} FROM ({inner})")
+    none = ", ".join(f"CAST(NULL AS DOUBLE) AS w{i}" for i in range(d))
+    cov = ", ".join(f"g{i}{j} / alpha AS v{i}{j}" for i in range(d) for j in range(d))
+    return (f"{moments_cte()}, en AS (SELECT count(*) AS n FROM tr), "
+            f"steps AS (SELECT 0 AS it, 1 / (sy * sy + 2.220446049250313e-16) AS alpha, CAST(1.0 AS DOUBLE) AS lam, {none}, false AS over FROM e0 UNION ALL {step}), "
+            f"final AS (SELECT * FROM steps WHERE over ORDER BY it DESC LIMIT 1), "
+            f"ridge AS (SELECT my, alpha, {', '.join(f'm{i}, s{i}' for i in range(d))}, {cov}, {', '.join(f'{w} AS u{i}' for i, w in enumerate(weight))} "
+            f"FROM ({_inverted(f'SELECT *, {gram} FROM final, e0, en', d)}))")
+
+
+def ridge_columns(alias: str = "s") -> tuple[str, str]:
+    """Predictive mean and standard deviation of a row by ``ridge``."""
+    z = [f"({alias}.{f} - m{i}) / s{i}" for i, f in enumerate(FEATS)]
+    mu = "my" + "".join(f" + u{i} * {t}" for i, t in enumerate(z))
+    var = " + ".join(f"v{i}{j} * {z[i]} * {z[j]}" for i in range(len(z)) for j in range(len(z)))
+    return mu, f"sqrt({var} + 1 / alpha)"
