@@ -785,7 +785,14 @@ def q_roc_auc(spark, sf_dir):
     return roc_auc(lab.join(docs, "doc_id"), "label", "score").select(F.round("auc", 9).alias("auc"))
 
 
-@query("logistic_scaled")
+_LOGIT = ["n_chars", "n_words"]
+_LOGIT_P = " + ".join(["b0", *[f"b{i + 1} * ({f} - m{i}) / s{i}" for i, f in enumerate(_LOGIT)]])
+
+
+@query("logistic_scaled", "WITH data AS (SELECT doc_id, CAST(quality AS DOUBLE) AS label, CAST(n_chars AS DOUBLE) AS n_chars, "
+       "CAST(len(regexp_split_to_array(text, '[ \\t\\n\\x0B\\f\\r]+')) AS DOUBLE) AS n_words FROM labels JOIN documents USING (doc_id)), "
+       f"{S.newton_ctes('data', _LOGIT, 'label', 10)} SELECT doc_id, label, round(1 / (1 + exp(-({_LOGIT_P}))), 6) AS probability "
+       "FROM data, scale, beta10")
 def q_logistic_scaled(spark, sf_dir):
     """Scaled logistic regression with a probability output, on document features."""
     from tablefit.operators.classify import fit_logistic
@@ -796,7 +803,7 @@ def q_logistic_scaled(spark, sf_dir):
         F.size(F.split(F.col("text"), r"\s+")).cast("double").alias("n_words"))
     data = lab.join(docs, "doc_id")
     model = fit_logistic(data, ["n_chars", "n_words"], "label")
-    return data.select("doc_id", "label", model.probability_col().alias("probability"))
+    return data.select("doc_id", "label", F.round(model.probability_col(), 6).alias("probability"))
 
 
 # --------------------------------------------------------------------------- flagship

@@ -244,3 +244,22 @@ def ridge_columns(alias: str = "s") -> tuple[str, str]:
     mu = "my" + "".join(f" + u{i} * {t}" for i, t in enumerate(z))
     var = " + ".join(f"v{i}{j} * {z[i]} * {z[j]}" for i in range(len(z)) for j in range(len(z)))
     return mu, f"sqrt({var} + 1 / alpha)"
+
+
+def newton_ctes(src: str, features: list[str], label: str, steps: int) -> str:
+    """CTEs ending in ``beta<steps>(b0, ..)``: Newton steps of logistic regression on
+    the scaled features of ``src``, each one aggregate and one small inverse."""
+    d = len(features)
+    z = ["1.0"] + [f"coalesce((CAST({f} AS DOUBLE) - m{i}) / nullif(s{i}, 0), 0.0)" for i, f in enumerate(features)]
+    cols = ", ".join(f"avg({f}) AS m{i}, stddev_pop({f}) AS s{i}" for i, f in enumerate(features))
+    out = [f"scale AS (SELECT {cols} FROM {src})",
+           f"scaled AS (SELECT CAST({label} AS DOUBLE) AS y, {', '.join(f'{e} AS z{i}' for i, e in enumerate(z))} FROM {src}, scale)",
+           "beta0 AS (SELECT " + ", ".join(f"CAST(0 AS DOUBLE) AS b{i}" for i in range(d + 1)) + ")"]
+    margin = " + ".join(f"b{i} * z{i}" for i in range(d + 1))
+    for k in range(1, steps + 1):
+        sums = [f"sum(p * (1 - p) * z{i} * z{j}) AS g{i}{j}" for i in range(d + 1) for j in range(d + 1)]
+        sums += [f"sum((y - p) * z{i}) AS r{i}" for i in range(d + 1)] + [f"any_value(b{i}) AS b{i}" for i in range(d + 1)]
+        out.append(f"sums{k} AS (SELECT {', '.join(sums)} FROM (SELECT *, 1 / (1 + exp(-({margin}))) AS p FROM scaled, beta{k - 1}))")
+        new = ", ".join(f"b{i} + " + " + ".join(f"g{i}{j} * r{j}" for j in range(d + 1)) + f" AS b{i}" for i in range(d + 1))
+        out.append(f"beta{k} AS (SELECT {new} FROM ({_inverted(f'SELECT * FROM sums{k}', d + 1)}))")
+    return ", ".join(out)

@@ -15,9 +15,11 @@ from urllib.parse import quote
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablefit.operators import registry, search
 from tablefit.operators.models import Model, model_from_json
+from tablefit.sources.commits import CommitLog
 
 
 class ModelStore:
@@ -36,8 +38,17 @@ class ModelStore:
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def _append(self, df: DataFrame, table: str) -> None:
-        df.write.mode("append").parquet(self.path(table))
+    def _log(self) -> CommitLog:
+        return CommitLog(self.spark, self.path("registry_log"))
+
+    def _committed(self, rows: str, schema, upto: list[int] | None) -> DataFrame:
+        """Rows of the commits (of the given numbers, or all made by now), one per registration."""
+        log = self._log()
+        files = [log.file(n) for n in (log.numbers() if upto is None else upto)]
+        if not files:
+            return self.spark.createDataFrame([], schema)
+        whole = T.StructType([T.StructField(rows, T.ArrayType(schema))])
+        return self.spark.read.schema(whole).option("mode", "FAILFAST").json(files).select(F.inline(rows))
 
     # M11
     def log_search(self, results: list) -> None:
@@ -53,24 +64,29 @@ class ModelStore:
         return self._read("trials", search.TRIALS_SCHEMA, by_run=True)
 
     # V1-V3
-    def versions(self) -> DataFrame:
-        return self._read("model_versions", registry.VERSIONS_SCHEMA)
-
-    def aliases(self) -> DataFrame:
-        return self._read("model_aliases", registry.ALIASES_SCHEMA)
-
-    def register(self, model_name: str, assignments: list[tuple[str, str]]) -> None:
-        """Register ``(alias, run_id)`` pairs in order: each gets a new version."""
-        versions, aliases = self.versions(), self.aliases()
-        start = aliases.agg(F.max("seq")).first()[0]
-        start = -1 if start is None else start
-        req = self.spark.createDataFrame(
-            [(model_name, run_id, alias, start + 1 + i) for i, (alias, run_id) in enumerate(assignments)],
-            "model_name string, run_id string, alias string, seq long")
-        new_v, new_a = registry.register(versions, aliases, req)
-        rows_v, rows_a = new_v.collect(), new_a.collect()  # one row per registration
-        self._append(self.spark.createDataFrame(rows_v, registry.VERSIONS_SCHEMA), "model_versions")
-        self._append(self.spark.createDataFrame(rows_a, registry.ALIASES_SCHEMA), "model_aliases")
+    def versions(self, upto: list[int] | None = None) -> DataFrame:
+        return (self._read("model_versions", registry.VERSIONS_SCHEMA)
+                .unionByName(self._committed("versions", registry.VERSIONS_SCHEMA, upto)))
+
+    def aliases(self, upto: list[int] | None = None) -> DataFrame:
+        return (self._read("model_aliases", registry.ALIASES_SCHEMA)
+                .unionByName(self._committed("aliases", registry.ALIASES_SCHEMA, upto)))
+
+    def register(self, model_name: str, assignments: list[tuple[str, str]]) -> int:
+        """Register ``(alias, run_id)`` pairs in order, as one commit: each gets a new
+        version. Returns the commit's number."""
+        def make(seen):
+            versions, aliases = self.versions(seen), self.aliases(seen)
+            last = aliases.agg(F.max("seq")).first()[0]
+            first = 0 if last is None else last + 1
+            req = self.spark.createDataFrame(
+                [(model_name, run_id, alias, first + i) for i, (alias, run_id) in enumerate(assignments)],
+                "model_name string, run_id string, alias string, seq long")
+            new_v, new_a = registry.register(versions, aliases, req)
+            # One row per registration.
+            return {"versions": [r.asDict() for r in new_v.collect()], "aliases": [r.asDict() for r in new_a.collect()]}
+
+        return self._log().commit(make)[0]
 
     def signature(self, run_id: str) -> dict:
         import json

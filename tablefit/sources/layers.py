@@ -1,16 +1,19 @@
 """Sources, sinks and the bronze -> silver -> gold layers.
 
 A layer is a pure function of its upstream DataFrame; a write is an overwrite
-of a parquet path (or a catalog table) under the shared folder.
+of a parquet path (a new snapshot) or a catalog table under the shared folder.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablefit.operators import checks
+from tablefit.sources.commits import CommitLog
 from tablefit.spec import FeatureSpec
 
 # A per-file or per-partition offset table is broadcast only under this many rows.
@@ -107,31 +110,82 @@ def _offsets(counts: DataFrame, key: str, n: str, with_total: bool = False):
 
 
 # --------------------------------------------------------------------------- S5, S6, S8
+# A layer at a path is a folder of snapshots: data folders ``_v-<name>`` and a
+# commit log ``_snapshots`` whose last entry names the current one. An overwrite
+# writes a new folder and then commits its name, so a job that fails or is killed
+# leaves the old rows in place, and a layer can be rewritten from itself.
+
+def _is_path(target: str) -> bool:
+    return "/" in target or ":" in target
+
+
+def _snapshots(spark: SparkSession, target: str) -> CommitLog:
+    return CommitLog(spark, f"{target.rstrip('/')}/_snapshots")
+
+
 def write_layer(df: DataFrame, target: str, comment: str | None = None,
                 fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
-    """Overwrite a layer: a path (``/``, ``:`` in it) or a catalog table name."""
+    """Overwrite a layer: a path (``/``, ``:`` in it; a new snapshot, readers of the
+    old one go on undisturbed) or a catalog table name."""
+    if _is_path(target):
+        name = f"_v-{uuid.uuid4().hex}"
+        writer = df.write.mode("errorifexists").format(fmt)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.save(f"{target.rstrip('/')}/{name}")
+        _snapshots(df.sparkSession, target).commit(lambda seen: {"data": name, "format": fmt})
+        return target
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if "/" in target or ":" in target:
-        writer.save(target)
-    else:
-        if comment is not None:
-            writer = writer.option("comment", comment)
-        writer.saveAsTable(target)
-        if comment is not None:
-            escaped = comment.replace("'", "\\'")
-            df.sparkSession.sql(f"COMMENT ON TABLE {target} IS '{escaped}'")
+    if comment is not None:
+        writer = writer.option("comment", comment)
+    writer.saveAsTable(target)
+    if comment is not None:
+        escaped = comment.replace("'", "\\'")
+        df.sparkSession.sql(f"COMMENT ON TABLE {target} IS '{escaped}'")
     return target
 
 
-def read_layer(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
-    """Read an upstream layer by path or table name."""
-    if "/" in target or ":" in target:
-        return spark.read.format(fmt).load(target)
+def layer_path(spark: SparkSession, target: str, snapshot: int | None = None) -> str:
+    """The folder that holds a layer's rows: of its last snapshot, or of a given one
+    that is still kept. A folder without snapshots is its own."""
+    log = _snapshots(spark, target)
+    numbers = log.numbers()
+    if not numbers and snapshot is None:
+        return target
+    if snapshot is not None and snapshot not in numbers:
+        raise ValueError(f"{target} has no snapshot {snapshot}; kept: {numbers}")
+    return f"{target.rstrip('/')}/{log.read(numbers[-1] if snapshot is None else snapshot)['data']}"
+
+
+def read_layer(spark: SparkSession, target: str, fmt: str = "parquet", snapshot: int | None = None) -> DataFrame:
+    """Read an upstream layer by path or table name. The snapshot is looked up once:
+    the rows stay the same whatever is written meanwhile."""
+    if _is_path(target):
+        return spark.read.format(fmt).load(layer_path(spark, target, snapshot))
     return spark.table(target)
 
 
+def release_layer(spark: SparkSession, target: str, keep: int = 1) -> list[int]:
+    """Delete all but the last ``keep`` snapshots (at least one stays) and data folders
+    of writes that failed; only when no job reads or writes the layer. Returns what is kept."""
+    log = _snapshots(spark, target)
+    numbers = log.numbers()
+    kept = numbers[-max(1, keep):]
+    named = {log.read(n)["data"] for n in kept}
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    for n in numbers[:-max(1, keep)]:
+        fs.delete(path(log.file(n)), False)
+    if numbers:
+        for f in fs.listStatus(path(target)):
+            name = f.getPath().getName()
+            if name.startswith("_v-") and name not in named:
+                fs.delete(f.getPath(), True)
+    return kept
+
+
 # --------------------------------------------------------------------------- layers
 def bronze(raw: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Raw rows with names normalised; checked for the expected columns (Q2)."""
