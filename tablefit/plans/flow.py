@@ -75,7 +75,7 @@ def batch_score_job(spark: SparkSession, store: ModelStore, model_name: str, sco
     for _, run_id, _ in resolved.values():
         check_signature(scoring_set, store.signature(run_id))  # M12: names and types before scoring
     models = {a: m for a, (_, _, m) in resolved.items()}
-    layers.write_layer(scoring.score(scoring_set, models), out_path)
+    layers.write_layer(scoring.score(scoring_set, models), out_path, snapshots=False)  # read by its bare path
     scored = layers.read_layer(spark, out_path)
     return scoring.holdout_metrics(scored, spec.target, list(ALIASES))
 

@@ -113,7 +113,9 @@ def _offsets(counts: DataFrame, key: str, n: str, with_total: bool = False):
 # A layer at a path is a folder of snapshots: data folders ``_v-<name>`` and a
 # commit log ``_snapshots`` whose last entry names the current one. An overwrite
 # writes a new folder and then commits its name, so a job that fails or is killed
-# leaves the old rows in place, and a layer can be rewritten from itself.
+# leaves the old rows in place, and a layer can be rewritten from itself. A layer
+# that others read by its bare path has no snapshots: its new rows are written
+# beside it and change places with the old ones by two renames.
 
 def _is_path(target: str) -> bool:
     return "/" in target or ":" in target
@@ -123,17 +125,39 @@ def _snapshots(spark: SparkSession, target: str) -> CommitLog:
     return CommitLog(spark, f"{target.rstrip('/')}/_snapshots")
 
 
-def write_layer(df: DataFrame, target: str, comment: str | None = None,
-                fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
+def _beside(target: str, kind: str) -> str:
+    parent, _, name = target.rstrip("/").rpartition("/")
+    return f"{parent}/_{kind}-{name}"
+
+
+def _swap_in(spark: SparkSession, new: str, target: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    at, old = path(target), path(_beside(target, "old"))
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(at):
+        fs.delete(old, True)
+        fs.rename(at, old)
+    if not fs.rename(path(new), at):
+        raise RuntimeError(f"{new} could not take the place of {target}; its old rows are in {old.toString()}")
+    fs.delete(old, True)
+
+
+def write_layer(df: DataFrame, target: str, comment: str | None = None, fmt: str = "parquet",
+                partition_by: list[str] | None = None, snapshots: bool = True) -> str:
     """Overwrite a layer: a path (``/``, ``:`` in it; a new snapshot, readers of the
-    old one go on undisturbed) or a catalog table name."""
+    old one go on undisturbed) or a catalog table name. With ``snapshots=False`` the
+    rows lie in the folder itself, for readers that know no layers."""
     if _is_path(target):
         name = f"_v-{uuid.uuid4().hex}"
+        at = f"{target.rstrip('/')}/{name}" if snapshots else f"{_beside(target, 'new')}-{uuid.uuid4().hex}"
         writer = df.write.mode("errorifexists").format(fmt)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.save(f"{target.rstrip('/')}/{name}")
-        _snapshots(df.sparkSession, target).commit(lambda seen: {"data": name, "format": fmt})
+        writer.save(at)
+        if snapshots:
+            _snapshots(df.sparkSession, target).commit(lambda seen: {"data": name, "format": fmt})
+        else:
+            _swap_in(df.sparkSession, at, target)
         return target
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
@@ -149,11 +173,15 @@ def write_layer(df: DataFrame, target: str, comment: str | None = None,
 
 def layer_path(spark: SparkSession, target: str, snapshot: int | None = None) -> str:
     """The folder that holds a layer's rows: of its last snapshot, or of a given one
-    that is still kept. A folder without snapshots is its own."""
+    that is still kept. A folder without snapshots is its own (or, where a swap was
+    cut off between its renames, the one that held the old rows)."""
     log = _snapshots(spark, target)
     numbers = log.numbers()
     if not numbers and snapshot is None:
-        return target
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        old = path(_beside(target, "old"))
+        fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+        return target if fs.exists(path(target)) or not fs.exists(old) else old.toString()
     if snapshot is not None and snapshot not in numbers:
         raise ValueError(f"{target} has no snapshot {snapshot}; kept: {numbers}")
     return f"{target.rstrip('/')}/{log.read(numbers[-1] if snapshot is None else snapshot)['data']}"

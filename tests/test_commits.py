@@ -117,3 +117,23 @@ def test_a_plain_folder_is_a_layer(spark):
     assert layers.read_layer(spark, path).count() == 5
     layers.write_layer(layers.read_layer(spark, path).limit(2), path)
     assert layers.read_layer(spark, path).count() == 2
+
+
+def test_a_bare_path_is_swapped(spark, monkeypatch):
+    path = scratch_path(spark, "bare")
+    for n in (10, 6):
+        layers.write_layer(spark.range(n), path, snapshots=False)
+        assert spark.read.parquet(path).count() == n
+    layers.write_layer(layers.read_layer(spark, path).filter("id < 3"), path, snapshots=False)
+    assert layers.read_layer(spark, path).count() == 3
+    bad = spark.range(9).select(F.raise_error(F.lit("killed")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="killed"):
+        layers.write_layer(bad, path, snapshots=False)
+    assert spark.read.parquet(path).count() == 3
+    # Cut off between the two renames: the old rows are found where they are.
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.rename(at(path), at(layers._beside(path, "old")))
+    assert layers.read_layer(spark, path).count() == 3
+    layers.write_layer(spark.range(2), path, snapshots=False)
+    assert layers.read_layer(spark, path).count() == 2
