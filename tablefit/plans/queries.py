@@ -96,6 +96,16 @@ def q_check_sequential_id(spark, sf_dir):
     return checks.expect_sequential_ids(q_sequential_id(spark, sf_dir), "seq_id")
 
 
+@query("check_permutation",
+       "WITH ids AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS seq_id FROM orders), "
+       "a AS (SELECT count(*) AS n, min(seq_id) AS lo, max(seq_id) AS hi, count(DISTINCT seq_id) AS nd FROM ids) "
+       "SELECT 'permutation' AS \"check\", (n = 0 OR (lo = 1 AND hi = n AND nd = n)) AS passed, "
+       "concat_ws(',', CAST(n AS VARCHAR), CAST(lo AS VARCHAR), CAST(hi AS VARCHAR)) AS observed FROM a")
+def q_check_permutation(spark, sf_dir):
+    """Q7 on the IDs of S3 by hash sums, no ID shuffled."""
+    return checks.expect_permutation(q_sequential_id(spark, sf_dir), "seq_id")
+
+
 @query("attach_target",
        f"SELECT {FEATS_SQL}, l_extendedprice * (1 - l_discount) AS revenue FROM lineitem")
 def q_attach_target(spark, sf_dir):
@@ -196,6 +206,14 @@ def q_check_distinct_target(spark, sf_dir):
     return checks.expect_distinct_target(_reg(spark, sf_dir), "revenue", 50)
 
 
+@query("check_more_distinct",
+       f"WITH {S.reg_cte()} SELECT 'more_distinct' AS \"check\", count(DISTINCT revenue) > 50 AS passed, "
+       "CAST(least(count(DISTINCT revenue), 51) AS VARCHAR) AS observed FROM reg")
+def q_check_more_distinct(spark, sf_dir):
+    """Q8, A4 with at most 51 values a task."""
+    return checks.expect_more_distinct(_reg(spark, sf_dir), "revenue", 50)
+
+
 @query("target_range",
        f"WITH {S.reg_cte()} SELECT min(revenue) AS target_min, max(revenue) AS target_max FROM reg")
 def q_target_range(spark, sf_dir):
@@ -530,6 +548,30 @@ def q_gbt_declared(spark, sf_dir):
     return sc.select("row_id", "revenue", model.predict_col().alias("prediction"))
 
 
+@query("draw_params", S.draws_sql("supplier", "s_suppkey", search.SPACES, SEED))
+def q_draw_params(spark, sf_dir):
+    """M7, M8: every declared parameter drawn for trials numbered by supplier."""
+    trials = tables.load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("trial"))
+    parts = [search.draws_for(trials, "trial", family, SEED).select(
+        F.col("model_type").alias("family"), "trial", F.explode("params").alias("param", "value")) for family in search.SPACES]
+    value = F.when(F.col("value") == "True", 1.0).when(F.col("value") == "False", 0.0).otherwise(F.expr("try_cast(value AS double)"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("family", "trial", "param", F.round(value, 12).alias("value"))
+
+
+@query("ngboost_minibatch")
+def q_ngboost_minibatch(spark, sf_dir):
+    """M3, M6: 100 rounds on minibatches of half the rows, mean and std per hold-out row."""
+    tr, sc = _split(spark, sf_dir)
+    scaler = fit_scaler(tr, SPEC.features)
+    model = boost.fit_ngboost(tr, scaler, "revenue", "row_id", n_estimators=100, learning_rate=0.1,
+                              minibatch_frac=0.5, base_max_depth=3, seed=SEED)
+    mu, sd = model.dist_cols()
+    return sc.select("row_id", "revenue", mu.alias("mu"), sd.alias("sigma"))
+
+
 #: Rounds of the boosters in ``trial_search``; all else is drawn from the declared ranges.
 _SEARCH_ROUNDS = 10
 

@@ -263,3 +263,22 @@ def newton_ctes(src: str, features: list[str], label: str, steps: int) -> str:
         new = ", ".join(f"b{i} + " + " + ".join(f"g{i}{j} * r{j}" for j in range(d + 1)) + f" AS b{i}" for i in range(d + 1))
         out.append(f"beta{k} AS (SELECT {new} FROM ({_inverted(f'SELECT * FROM sums{k}', d + 1)}))")
     return ", ".join(out)
+
+
+def draws_sql(source: str, trial: str, spaces: dict, seed: int = 42) -> str:
+    """``family, trial, param, value`` of every declared parameter for the trial numbers of a table."""
+    out = []
+    for family, space in spaces.items():
+        for p in space:
+            u = f"(CAST('0x' || substr(md5('{seed}:{family}:' || {trial} || ':{p.name}'), 1, 13) AS BIGINT) / {float(16 ** 13)!r})"
+            if p.kind == "categorical":
+                n = len(p.choices)
+                value = f"CASE least(floor({u} * {n}), {n - 1}) " + " ".join(f"WHEN {i} THEN {float(c)!r}" for i, c in enumerate(p.choices)) + " END"
+            elif p.kind == "int":
+                value = f"least({int(p.low)} + floor({u} * {int(p.high) - int(p.low) + 1}), {int(p.high)})"
+            elif p.log:
+                value = f"exp(ln({p.low!r}) + {u} * (ln({p.high!r}) - ln({p.low!r})))"
+            else:
+                value = f"{p.low!r} + {u} * ({p.high!r} - {p.low!r})"
+            out.append(f"SELECT '{family}' AS family, CAST({trial} AS INTEGER) AS trial, '{p.name}' AS param, round(CAST({value} AS DOUBLE), 12) AS value FROM {source}")
+    return " UNION ALL ".join(out)

@@ -44,8 +44,8 @@ def test_query_matches_oracle(spark, con, name):
     pd.testing.assert_frame_equal(got, want, check_dtype=False, check_exact=True)
 
 
-#: Over a thousand passes; its trees are tested on fewer rounds in test_boost.py.
-LONG = {"gbt_declared"}
+#: Hundreds of passes; the same trees are tested on fewer rounds in test_boost.py.
+LONG = {"gbt_declared", "ngboost_minibatch"}
 
 
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - LONG))
