@@ -794,6 +794,20 @@ def q_mixture_density(spark, sf_dir):
                       F.round("density", 12).alias("density"))
 
 
+@query("mixture_density_cells",
+       f"WITH {S.reg_cte()}, b AS (SELECT min(revenue) - 30 AS lo, max(revenue) + 30 AS hi FROM reg), "
+       "d AS (SELECT l_extendedprice AS mu, 100 + 10 * l_quantity AS sd, count(*) AS n FROM reg GROUP BY 1, 2), "
+       "g AS (SELECT i, lo + i * ((hi - lo) / 499.0) AS x FROM b, range(500) t(i)) "
+       "SELECT CAST(i AS INTEGER) AS i, round(x, 6) AS x, round(sum(n * exp(-power((x - mu) / sd, 2) / 2) / (sqrt(2 * pi()) * sd)) / sum(n), 11) "
+       "AS density FROM g, d GROUP BY i, x")
+def q_mixture_density_cells(spark, sf_dir):
+    """C2 over all lineitem rows with a sigma of their own, by moments of cells."""
+    reg = _reg(spark, sf_dir)
+    lo, hi, _ = calibration._bounds(reg, "revenue")
+    out = calibration.mixture_density_cells(reg, "l_extendedprice", F.col("l_quantity") * 10 + 100, lo - 30, hi + 30, 500)
+    return out.select(F.col("i").cast("int").alias("i"), F.round("x", 6).alias("x"), F.round("density", 11).alias("density"))
+
+
 @query("point_curves",
        f"WITH k AS (SELECT s_suppkey, s_acctbal FROM supplier ORDER BY {S.h32('s_suppkey')}, s_suppkey LIMIT 4), "
        f"g AS (SELECT s_suppkey, s_acctbal, i, CASE WHEN i = 199 THEN s_acctbal + 4 * {FIXED_SIGMA} ELSE "

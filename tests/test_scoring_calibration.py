@@ -78,3 +78,28 @@ def test_point_curves_shape(reg, models):
     out = calibration.point_curves(dist, "row_id", "revenue", "mu", "sigma", 4, 200).toPandas()
     assert len(out) == 800 and out["row_id"].nunique() == 4
     assert np.all(out["density"] > 0)
+
+
+def test_expanded_mixture_equals_the_exact_one(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    mu = np.concatenate([rng.normal(0, 50, 4000), [1e6, -1e6, 3.0]])
+    sd = np.concatenate([np.exp(rng.normal(1, 1, 4000)), [0.01, 1e4, 1e-9]])
+    rows = [(float(a), float(b)) for a, b in zip(mu, sd)]
+    odd = [(None, 1.0), (1.0, None), (1.0, 0.0), (1.0, -1.0), (float("nan"), 1.0), (1.0, float("inf")), (float("inf"), 1.0)]
+    df = spark.createDataFrame(rows + odd, "mu double, sigma double").repartition(5)
+    got = calibration.mixture_density_cells(df, "mu", "sigma", -150.0, 150.0, 301).orderBy("i").toPandas()
+    x = np.linspace(-150, 150, 301)
+    each = np.exp(-(((x[:, None] - mu) / sd) ** 2) / 2) / (np.sqrt(2 * np.pi) * sd)
+    assert np.allclose(got["x"], x)
+    assert np.abs(got["density"].to_numpy() - each.mean(1))[x != 3.0].max() < 1e-12
+    assert abs(got["density"][153] / each.mean(1)[153] - 1) < 1e-9  # the spike of the smallest sigma
+    assert calibration.expansion_error() < 1e-10
+    assert calibration.mixture_density_cells(df.limit(0), "mu", "sigma", 0.0, 1.0, 3).filter("density IS NOT NULL").count() == 0
+
+
+def test_expanded_mixture_meets_the_grid_by_cells(spark):
+    df = spark.range(50_000).select((F.col("id") % 97 / 10.0).alias("mu"), (5 + F.col("id") % 13 / 10.0).alias("sigma")).repartition(3)
+    pairs = df.select("mu", "sigma", F.lit(1.0).alias("w"))
+    assert calibration._cell_moments(pairs).count() < 30
