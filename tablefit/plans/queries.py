@@ -572,6 +572,19 @@ def q_ngboost_minibatch(spark, sf_dir):
     return sc.select("row_id", "revenue", mu.alias("mu"), sd.alias("sigma"))
 
 
+@query("linear_trials", _TR + f", {S.linear_trials_sql(15, SEED)}")
+def q_linear_trials(spark, sf_dir):
+    """The least-squares family's 15 trials: draws, hold-out, fits, metrics, best trial."""
+    tr, _ = _split(spark, sf_dir)
+    result = search.run_search(tr, SPEC, "linear_regression", n_trials=15, seed=SEED)
+    log = search.trials_frame(spark, [result])
+    best = search.best_trials(log).select(F.col("trial").alias("best_trial"))
+    flag = lambda name: (F.col("params")[name].cast("string") == "True").alias(name)
+    return (log.join(F.broadcast(best), F.col("trial") == F.col("best_trial"), "left")
+            .select("trial", flag("fit_intercept"), flag("positive"), F.round("val_rmse", 3).alias("val_rmse"),
+                    F.round("val_r2", 9).alias("val_r2"), F.col("best_trial").isNotNull().alias("best")))
+
+
 #: Rounds of the boosters in ``trial_search``; all else is drawn from the declared ranges.
 _SEARCH_ROUNDS = 10
 

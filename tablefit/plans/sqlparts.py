@@ -282,3 +282,27 @@ def draws_sql(source: str, trial: str, spaces: dict, seed: int = 42) -> str:
                 value = f"{p.low!r} + {u} * ({p.high!r} - {p.low!r})"
             out.append(f"SELECT '{family}' AS family, CAST({trial} AS INTEGER) AS trial, '{p.name}' AS param, round(CAST({value} AS DOUBLE), 12) AS value FROM {source}")
     return " UNION ALL ".join(out)
+
+
+def linear_trials_sql(n_trials: int, seed: int = 42, fraction: float = 0.2) -> str:
+    """The least-squares family's trial log on ``tr``: draws, the exact hold-out, the
+    four fits that the draws can ask for, their validation metrics and the best trial."""
+    d = len(FEATS)
+    sets = [[i for i in range(d) if m >> i & 1] for m in range(1 << d)]
+    each = ", ".join(solve_ctes(kept, f"n{m}") for m, kept in enumerate(sets))
+    union = " UNION ALL ".join(f"SELECT * FROM n{m}" for m in range(len(sets)))
+    order = ", ".join([h32("row_id", seed), "row_id", *FEATS, "revenue"])
+    slope = " + ".join(f"w{i} * (v.{f} - m{i})" for i, f in enumerate(FEATS))
+    u = lambda name: f"(CAST('0x' || substr(md5('{seed}:linear_regression:' || trial || ':{name}'), 1, 13) AS BIGINT) / {float(16 ** 13)!r})"
+    return (
+        f"numbered AS (SELECT *, row_number() OVER (ORDER BY {order}) AS rn, count(*) OVER () AS n FROM tr), "
+        f"fitted AS (SELECT * FROM numbered WHERE rn > ceil({fraction} * n)), held AS (SELECT * FROM numbered WHERE rn <= ceil({fraction} * n)), "
+        f"{moments_cte('fitted')}, {each}, fits AS (SELECT false AS positive, * FROM n{len(sets) - 1} UNION ALL "
+        f"SELECT true, * FROM (SELECT * FROM ({union}) WHERE sound ORDER BY gain DESC LIMIT 1)), "
+        f"scores AS (SELECT fit_intercept, positive, sqrt(avg(power(v.revenue - p, 2))) AS rmse, 1 - sum(power(v.revenue - p, 2)) / regr_syy(v.revenue, v.revenue) AS r2 "
+        f"FROM (SELECT v.revenue, i.fit_intercept, f.positive, CASE WHEN i.fit_intercept THEN my ELSE 0 END + {slope} AS p FROM held AS v, fits AS f, "
+        "(SELECT unnest([true, false]) AS fit_intercept) AS i) AS v GROUP BY fit_intercept, positive), "
+        f"draws AS (SELECT trial, floor({u('fit_intercept')} * 2) = 0 AS fit_intercept, floor({u('positive')} * 2) = 0 AS positive "
+        f"FROM (SELECT unnest(range({n_trials})) AS trial)) "
+        "SELECT CAST(trial AS INTEGER) AS trial, fit_intercept, positive, round(rmse, 3) AS val_rmse, round(r2, 9) AS val_r2, "
+        "row_number() OVER (ORDER BY round(rmse, 6), trial) = 1 AS best FROM draws JOIN scores USING (fit_intercept, positive)")
