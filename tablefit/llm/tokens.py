@@ -11,6 +11,9 @@ import json
 from pyspark.sql import SparkSession
 
 _BUILT: dict = {}
+#: White space as Unicode has it, and the length from which a run of it is taken by itself.
+WORD_SPACE = "\\x09-\\x0d\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+LONG_RUN = 100_000
 
 
 def vocabulary(spark: SparkSession, path: str):
@@ -29,9 +32,15 @@ def _byte_of() -> dict[str, int]:
 
 def id_encoder(spec: str):
     """A function text -> uint32 ids, special strings of the file recognised as
-    the tokenizers library does by default; no special tokens are added."""
+    the tokenizers library does by default; no special tokens are added. Runs of
+    ``LONG_RUN`` white spaces or more, on which the matcher of ``tiktoken`` gives
+    up, go through the library by themselves."""
     key = ("ids", hash(spec))
     if key not in _BUILT:
+        import os
+        import re
+
+        import numpy as np
         import public_tokenizers
         import tiktoken
 
@@ -41,7 +50,34 @@ def id_encoder(spec: str):
         ranks = {bytes(byte_of[c] for c in t): i for t, i in j["model"]["vocab"].items() if t not in special}
         enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
         allowed = set(special)
-        _BUILT[key] = lambda text: enc.encode_to_numpy(text, allowed_special=allowed, disallowed_special=())
+        blanks = re.compile(f"[{WORD_SPACE}]{{2,}}")
+        library = []
+
+        def fast(text):
+            return enc.encode_to_numpy(text, allowed_special=allowed, disallowed_special=())
+
+        def run_ids(text):
+            if not library:
+                os.environ["TOKENIZERS_PARALLELISM"] = "false"
+                from tokenizers import Tokenizer
+
+                library.append(Tokenizer.from_str(spec))
+            return np.array(library[0].encode(text, add_special_tokens=False).ids, np.uint32)
+
+        def ids(text):
+            if len(text) < LONG_RUN:
+                return fast(text)
+            out, at = [], 0
+            for m in blanks.finditer(text):
+                a, b = m.span()
+                if b - a >= LONG_RUN:
+                    # A run is one pre-token but for its last character, which starts what follows.
+                    end = b if b == len(text) else b - 1
+                    out += [fast(text[at:a]), run_ids(text[a:end])]
+                    at = end
+            return np.concatenate([*out, fast(text[at:])]) if out else fast(text)
+
+        _BUILT[key] = ids
     return _BUILT[key]
 
 
@@ -79,8 +115,7 @@ def piece_counter(spec: str):
 WORD_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
                                                        {"type": "Lowercase"}]}
 WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-#: White space of that pattern, and characters of a text that are looked at together.
-WORD_SPACE = "\\x09-\\x0d\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Characters of a text that are looked at together.
 STRETCH = 1 << 20
 
 

@@ -76,3 +76,26 @@ def test_best_fit_decreasing_matches_a_plain_search(lengths):
             open_.remove(rest)
         open_.append(rest - n)
     assert len(set(where)) == len(open_)
+
+
+def long_white_space():
+    n = 3_000_000
+    mixed = (" \n\t\r\n  　" * n)[:n]
+    return [" " * n + "a", "\n" * n, mixed + "word", "x" + "\n" * n + " y  z" + " " * n, mixed, "a" + " " * 100_000 + "<|endoftext|>" + "\n" * 99_999 + "b",
+            ("b" + " " * 99_999) * 3 + "\x1c" * 120_000 + " c", " " * 100_000 + "\n" * 100_000 + "é"]
+
+
+def test_long_white_space_is_no_error():
+    from tablefit.llm.tokens import id_encoder
+
+    encode = id_encoder(open(PATH, encoding="utf-8").read())
+    for t in long_white_space():
+        assert list(encode(t)) == ids(t), repr(t[:10])
+
+
+def test_packing_of_long_white_space(spark):
+    texts = long_white_space()[:4]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["n"] for r in packing.pack_documents(docs, PATH).groupBy("doc_id").agg({"length": "sum"})
+           .withColumnRenamed("sum(length)", "n").collect()}
+    assert got == {k: len(ids(t)) + 1 for k, t in enumerate(texts)}
