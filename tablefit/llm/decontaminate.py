@@ -10,6 +10,12 @@ verified by an alignment confined to the band and ``k`` diagonals on either side
 An item counts as leaked when all of it occurs within ``k`` edits, ``k`` being
 ``EDIT_SHARE`` of its length (less for items too short for the bound).
 
+Shared q-grams are never listed all at once: places are taken in slices of at most
+``PAIRS`` pairs, and where both a text and an item repeat a q-gram very often (runs
+of one letter, repeated lines) the bands are counted from the sorted places without
+listing pairs. Documents longer than ``CHUNK_BYTES`` are searched in windows that
+overlap by the longest region. So a task's memory depends on neither.
+
 The benchmark is the query set: it is broadcast in blocks of at most
 ``BLOCK_BYTES``, each block against all documents; no text is shuffled.
 
@@ -30,8 +36,12 @@ Q = 8
 EDIT_SHARE = 0.1
 BLOCK_BYTES = 8 << 20
 CHUNK_BYTES = 2 << 20
-#: Candidates aligned at the same time.
+#: Candidates aligned at the same time, and at most so many cells of their bands.
 ALIGN = 256
+ALIGN_CELLS = 1 << 16
+#: Shared q-grams listed at the same time, and from how many on those of one q-gram and item are counted instead.
+PAIRS = 1 << 21
+HEAVY = 1 << 16
 
 _MAP = np.full(256, 32, np.uint8)
 _MAP[0] = 0
@@ -89,9 +99,63 @@ class Items:
         self.seen = np.zeros(1 << 22, bool)
         self.seen[_mix(self.code)] = True
 
+    def _counted(self, at, item: int, places, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Cells of one q-gram and item from the sorted places of both."""
+        step = int(self.k[item]) + 1
+        low = (int(at[0]) - int(places[-1]) + size) // step
+        edges = np.arange(low, (int(at[-1]) - int(places[0]) + size) // step + 2) * step - size
+        # How many of the text's places lie below each place of the window.
+        below = np.concatenate([[0], np.cumsum(np.bincount(at - at[0]))])
+        n = np.zeros(len(edges) - 1, np.int64)
+        for p in places:
+            n += np.diff(below[np.clip(edges + p - at[0], 0, len(below) - 1)])
+        some = np.flatnonzero(n)
+        return item * np.int64(2 * size + 2) + low + some, n[some]
+
+    def _cells(self, at, where, size: int):
+        """``(cell, count)`` pieces; a cell is an item and a stretch of k + 1 diagonals."""
+        wide = np.int64(2 * size + 2)
+
+        def listed(at, start, width):
+            stop = np.cumsum(width)
+            first = 0
+            while first < len(at):
+                done = stop[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(stop, done + PAIRS, "right")))
+                w = width[first:last]
+                src = np.repeat(start[first:last] - np.concatenate([[0], np.cumsum(w)[:-1]]), w) + np.arange(w.sum())
+                item = self.item[src]
+                diag = np.repeat(at[first:last], w) - self.place[src] + size  # counted from a place below any
+                yield np.unique(item * wide + diag // (self.k[item] + 1), return_counts=True)
+                first = last
+
+        width = self.ptr[where + 1] - self.ptr[where]
+        often = np.flatnonzero(np.bincount(where, minlength=len(self.code)) * (self.ptr[1:] - self.ptr[:-1]) > HEAVY)
+        heavy = np.isin(where, often)
+        yield from listed(at[~heavy], self.ptr[where[~heavy]], width[~heavy])
+        for gram in often:
+            here = at[where == gram]
+            start, stop = self.ptr[gram], self.ptr[gram + 1]
+            items, first, n = np.unique(self.item[start:stop], return_index=True, return_counts=True)
+            for i, f, m in zip(items, first + start, n):
+                if len(here) * m > HEAVY and m >= 8:
+                    yield self._counted(here, int(i), self.place[f:f + m], size)
+                else:
+                    yield from listed(here, np.full(len(here), f), np.full(len(here), m))
+
     def search(self, x: np.ndarray, doc_start: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(document, item, edits, end place in the normalised document) of
         the leaked items; ``x`` holds normalised texts parted by NULs."""
+        longest = max((len(t) + int(k) for t, k in zip(self.items, self.k)), default=0) + Q
+        best: dict[tuple[int, int], tuple[int, int]] = {}
+        for s in range(0, len(x), CHUNK_BYTES):
+            if s and s + longest >= len(x) + Q:
+                break  # the window before reached the end
+            self._search(x[s:s + CHUNK_BYTES + longest], s, doc_start, best)
+        return [(d, i, e, end) for (d, i), (e, end) in sorted(best.items())]
+
+    def _search(self, x, shift: int, doc_start, best: dict) -> None:
+        """Adds the matches of a window that begins at ``shift`` to ``best``."""
         g = grams(x)
         at = np.flatnonzero(self.seen[_mix(g)])
         where = np.searchsorted(self.code, g[at])
@@ -100,30 +164,45 @@ class Items:
         ok = self.code[where] == g[at]
         at, where = at[ok], where[ok]
         if not len(at):
-            return []
-        width = self.ptr[where + 1] - self.ptr[where]
-        src = np.repeat(self.ptr[where] - np.concatenate([[0], np.cumsum(width)[:-1]]), width) + np.arange(width.sum())
-        item = self.item[src]
-        diag = np.repeat(at, width) - self.place[src] + len(x)  # counted from a place below any
-        # Bands of width 2 (k + 1) in steps of k + 1: each diagonal lies in two.
-        step = self.k[item] + 1
-        band = diag // step
+            return
+        key, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held, waiting = [], 0
+
+        def merged():
+            cell, back = np.unique(np.concatenate([key, *[c for c, _ in held]]), return_inverse=True)
+            return cell, np.bincount(back, np.concatenate([n, *[m for _, m in held]]), minlength=len(cell)).astype(np.int64)
+
+        for piece in self._cells(at, where, len(x)):
+            held.append(piece)
+            waiting += len(piece[0])
+            if waiting > PAIRS:
+                key, n = merged()
+                held, waiting = [], 0
+        key, n = merged()
+        # Bands of two neighbouring cells: each diagonal lies in two.
         wide = np.int64(2 * len(x) + 2)
-        key = np.concatenate([item * wide + band, item * wide + band - 1])
-        key, n = np.unique(key, return_counts=True)
-        item, band = key // wide, key % wide
+        inner = key % wide > 0
+        cell, back = np.unique(np.concatenate([key, key[inner] - 1]), return_inverse=True)
+        n = np.bincount(back, np.concatenate([n, n[inner]]), minlength=len(cell)).astype(np.int64)
+        item, band = cell // wide, cell % wide
         full = n >= self.need[item]
         item, low = item[full], band[full] * (self.k[item[full]] + 1) - len(x)
-        best: dict[tuple[int, int], tuple[int, int]] = {}
         for i in np.unique(item):
             lows = low[item == i]
-            for s in range(0, len(lows), ALIGN):
-                for doc, edits, end in self.align(x, doc_start, int(i), lows[s:s + ALIGN]):
+            rows = max(1, min(ALIGN, ALIGN_CELLS // (4 * int(self.k[i]) + 2)))
+            while len(lows):
+                exact = []
+                for doc, edits, end in self.align(x, shift, doc_start, int(i), lows[:rows]):
                     if edits < best.get((doc, int(i)), (1 << 30, 0))[0]:
                         best[doc, int(i)] = (edits, end)
-        return [(d, i, e, end) for (d, i), (e, end) in sorted(best.items())]
-
-    def align(self, x, doc_start, i, lows):
+                        exact += [doc] * (edits == 0)
+                lows = lows[rows:]
+                if exact:  # no band that lies whole in such a document can better it
+                    first, last = (np.searchsorted(doc_start, np.maximum(lows + shift + o, 0), "right") - 1
+                                   for o in (-int(self.k[i]), 3 * int(self.k[i]) + 2 + len(self.items[i])))
+                    lows = lows[(first != last) | ~np.isin(first, exact)]
+
+    def align(self, x, shift, doc_start, i, lows):
         """Banded alignment of item ``i`` near the diagonals from ``lows`` on:
         all of the item, anywhere in the document. Yields matches in budget."""
         k, item = int(self.k[i]), self.items[i]
@@ -133,7 +212,6 @@ class Items:
         text = np.where((place >= 0) & (place < len(x)), x[np.clip(place, 0, len(x) - 1)], 0)
         far = np.int32(m + width)
         cost = np.zeros((len(lows), width), np.int32)
-        steps = np.arange(width, dtype=np.int32)
         for r in range(m):
             seen = text[:, r:r + width]
             # A NUL parts two texts: no alignment passes it.
@@ -144,11 +222,10 @@ class Items:
             cost = np.minimum(np.minimum.accumulate(new - skip, axis=1) + skip, far).astype(np.int32)
         end = cost.argmin(axis=1)
         edits = cost[np.arange(len(lows)), end]
-        last = start + end + m - 1  # the last byte of the match
+        last = start + end + m - 1 + shift  # the last byte of the match
         for j in np.flatnonzero(edits <= k):
             doc = int(np.searchsorted(doc_start, last[j], "right")) - 1
             yield doc, int(edits[j]), int(last[j] - doc_start[doc] + 1)
-        del steps
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

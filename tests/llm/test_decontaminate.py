@@ -63,3 +63,38 @@ def test_blocks_of_items_give_the_same(spark, messy, monkeypatch):
     one = sorted((str(r.id), r.item_id, r.edits) for r in d.leaks(messy, bench).collect())
     monkeypatch.setattr(d, "BLOCK_BYTES", 20)
     assert one and sorted((str(r.id), r.item_id, r.edits) for r in d.leaks(messy, bench).collect()) == one
+
+
+def search(items, docs):
+    x = d.normalise(np.frombuffer(b"\0".join(t.encode() for t in docs), np.uint8))
+    return d.Items(items, d.EDIT_SHARE).search(x, np.concatenate([[0], np.flatnonzero(x == 0) + 1]))
+
+
+def test_repetitive_texts_need_bounded_memory():
+    import tracemalloc
+
+    line = "the same line of a page, over and over again. "
+    items = ["a" * 6_000, line * 40]
+    tracemalloc.start()
+    got = search(items, ["a" * 1_000_000, line * 10_000, "nothing of the kind"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1 << 28
+    assert {(doc, i): e for doc, i, e, _ in got} == {(0, 0): 0, (1, 1): 0}
+
+
+def test_counted_bands_and_windows_change_nothing(monkeypatch):
+    rng = random.Random(5)
+    for t in range(6):
+        items = ["".join(rng.choice("ab") for _ in range(rng.randint(8, 14))) * rng.randint(1, 6) for _ in range(4)] + ["a" * 70]
+        docs = ["".join(rng.choice(["ab", "a", "b", *items]) for _ in range(rng.randint(0, 12))) for _ in range(3)] + ["a" * 300, "x"]
+        for name, value in (("HEAVY", 1 << 16), ("PAIRS", 1 << 21), ("CHUNK_BYTES", 2 << 20)):
+            monkeypatch.setattr(d, name, value)
+        want = search(items, docs)
+        monkeypatch.setattr(d, "HEAVY", 3)
+        monkeypatch.setattr(d, "PAIRS", 50)
+        assert search(items, docs) == want
+        monkeypatch.setattr(d, "CHUNK_BYTES", 100)
+        assert [m[:3] for m in search(items, docs)] == [m[:3] for m in want]
+        for doc, i, e, _ in want:
+            assert t > 1 or e == distance(norm(items[i]), norm(docs[doc]))
