@@ -91,6 +91,8 @@ def fit_logistic(df: DataFrame, features: list[str], label: str, reg_param: floa
     weights (not the intercept's). A step is one aggregate; one that does not lower
     the objective is halved. Rows with a null are left out."""
     df = df.dropna(subset=[*features, label])
+    if not df.take(1):
+        raise ValueError("Logistic regression needs rows without nulls.")
     scaler = fit_scaler(df, features)
     zcols = [f"_tf_z{i}" for i in range(len(features))]
     rows = df.select(F.col(label).cast("double").alias("_tf_y"), *[scaler.column(i).alias(z) for i, z in enumerate(zcols)])
@@ -99,8 +101,6 @@ def fit_logistic(df: DataFrame, features: list[str], label: str, reg_param: floa
         beta = np.zeros(len(features) + 1)
         ridge = np.concatenate([[0.0], np.full(len(features), float(reg_param))])
         now = _newton_pass(rows, zcols, beta)
-        if not now["n"]:
-            raise ValueError("Logistic regression needs rows without nulls.")
         n, history = now["n"], [now["loss"] / now["n"]]
         status, halved = "max_iter", 0
         value = history[0]
