@@ -18,8 +18,8 @@ with their count, before the shuffle; where more than ``HOT`` different ones sti
 share those bytes, windows meet one by one, as a whole.
 
 Defined results: a null text is empty, texts below ``WINDOW`` bytes lose nothing;
-null IDs and repeated rows are judged like others (copies repeat each other); an
-empty table gives an empty result. Rows: one per input row.
+null IDs and repeated rows are judged like others (copies repeat each other; rows
+equal in ID and text share one number and one read of it); an empty table gives an empty result. Rows: one per input row.
 """
 
 from __future__ import annotations
@@ -172,11 +172,18 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``id, tkey, n_bytes, spans, kept, sha``, one row per input row: the removed byte ranges
     [start, end) in order, the bytes that stay (null where all do) and the input's SHA-256."""
     rows = keep_table(scan(docs, id_col, text_col), "suffix-runs")
+    kept_rows, equal = [rows], repeated_rows(rows)
+    if equal is not None:  # equal rows go by one number: they lose the same, from one text
+        lowest = keep_table(equal, "suffix-equal")
+        rows = keep_table(_same_row(rows, lowest).withColumn("cid", F.coalesce("low", "cid")).select(*rows.columns), "suffix-runs")
+        kept_rows += [lowest, rows]
     runs_ = rows.select("cid", F.explode(F.arrays_zip("keys", "segs", "packs")).alias("r")).select(
         "cid", F.col("r.keys").alias("key"), F.col("r.segs").alias("seg"), F.col("r.packs").alias("pack"))
-    # Strings that occur more than once, and whether in different segments.
-    again = (runs_.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("seg").alias("lo"), F.max("seg").alias("hi"))
-             .filter("n > 1").select("key", (F.col("lo") != F.col("hi")).alias("mixed")))
+    # Strings that occur more than once, and whether in different segments. They are
+    # joined from a written table: an aggregate by the same key would share the join's
+    # partitioning, and the runs of the commonest string could not be split over tasks.
+    again = keep_table(runs_.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("seg").alias("lo"), F.max("seg").alias("hi"))
+                       .filter("n > 1").select("key", (F.col("lo") != F.col("hi")).alias("mixed")), "suffix-again")
     places = keep_table(runs_.join(again, "key"), "suffix-places")
     segments = places.filter("mixed").groupBy("key", "seg").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("cid", "pack")).alias("one"))
@@ -186,12 +193,13 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             .groupBy(F.col("one.cid").alias("cid"))
             .agg(F.collect_list(F.struct("key", "seg", "one.pack", F.col("different").isNotNull().alias("hot"))).alias("cuts")))
     # The texts with a string that occurs again, with the segments to cut from each.
-    need = (rows.select("cid", "id", "tkey").join(places.select("cid").distinct(), "cid").join(cuts, "cid", "left")
+    own = rows.select("cid", "id", "tkey") if equal is None else rows.select("cid", "id", "tkey").distinct()
+    need = (own.join(places.select("cid").distinct(), "cid").join(cuts, "cid", "left")
             .withColumnRenamed("id", "__id").withColumnRenamed("tkey", "__tkey"))
     src = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), text_key(text_col).alias("tkey"))
     texts = src.join(need, F.col("id").eqNullSafe(F.col("__id")) & (F.col("tkey") == F.col("__tkey"))).select("cid", "text", "cuts")
-    if not rows.groupBy("id", "tkey").count().filter("count > 1").isEmpty():
-        texts = texts.dropDuplicates(["cid"])  # equal rows found each other's texts
+    if equal is not None:  # each of n equal rows met the one entry
+        texts = texts.dropDuplicates(["cid"])
     texts = keep_table(texts, "suffix-texts")
     marks = _marks(texts, segments)
     known = segments.select("key", "seg", "n").join(marks.groupBy("key", "seg").agg(F.flatten(F.collect_list("spans")).alias("spans")),
@@ -203,15 +211,29 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = settled.union(some.filter("n > 1").select("cid", whole.alias("span"))).union(
         some.filter("n = 1").withColumn("x", F.explode("spans"))
         .select("cid", F.struct((start + F.col("x.a")).alias("a"), (start + F.col("x.b")).alias("b")).alias("span")))
+    if equal is not None:
+        found = found.distinct()
     spans = found.groupBy("cid").agg(F.collect_list("span").alias("spans"))
     done = texts.select("cid", "text").join(spans, "cid").mapInArrow(_remove, f"cid long, spans {SPANS}, kept binary")
     out = keep_table(rows.select("cid", "id", "tkey", "n_bytes", "sha").join(done, "cid", "left")
                      .select("id", "tkey", "n_bytes", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"), "kept", "sha"),
                      "suffix-result")
-    discard(rows, places, segments, texts, marks)
+    discard(*kept_rows, again, places, segments, texts, marks)
     return out
 
 
+def repeated_rows(rows: DataFrame) -> DataFrame | None:
+    """``id, tkey, low`` (least cid) of rows that repeat ID and text, None without any."""
+    found = (rows.groupBy("id", "tkey").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("low"))
+             .filter("n > 1").select("id", "tkey", "low"))
+    return None if found.isEmpty() else found
+
+
+def _same_row(rows: DataFrame, other: DataFrame) -> DataFrame:
+    other = other.withColumnRenamed("id", "__id").withColumnRenamed("tkey", "__tkey")
+    return rows.join(other, F.col("id").eqNullSafe(F.col("__id")) & (F.col("tkey") == F.col("__tkey")), "left")
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_bytes, n_removed, n_spans, kept_sha256`` from the rows of ``removed_spans``."""
     size = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])

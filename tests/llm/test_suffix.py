@@ -73,3 +73,22 @@ def test_shared_passages(spark, monkeypatch, hot):
         rows.append((i, text(rng.randint(0, 150)) + b[a:a + rng.randint(150, 500)] + text(rng.randint(0, 150))))
     rows += [(100, "ab" * 300), (101, "x" * 199), (102, "x" * 200), (103, text(2500))]
     assert got(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == brute(rows)
+
+
+def test_many_equal_rows_are_read_once(spark, monkeypatch):
+    """Rows equal in ID and text, null IDs too: as brute force says, with one text for each."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    own, shared = text(700), text(400)
+    rows = [(None, own)] * 60 + [(7, own[:350] + shared)] * 5 + [(8, shared + text(120)), (None, None), (None, None), (9, "short"), (9, "short")]
+    sizes = {}
+    real = suffix_dedup.keep_table
+
+    def counted(df, name):
+        out = real(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "keep_table", counted)
+    assert got(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == brute(rows)
+    assert sizes["suffix-texts"] == 3 and sizes["suffix-result"] == len(rows)
