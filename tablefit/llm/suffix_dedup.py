@@ -204,6 +204,7 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     marks = _marks(texts, segments)
     known = segments.select("key", "seg", "n").join(marks.groupBy("key", "seg").agg(F.flatten(F.collect_list("spans")).alias("spans")),
                                                    ["key", "seg"], "left")
+    known = keep_table(known, "suffix-known")  # joined from a table like the strings, for one segment in very many documents
     start = F.shiftright("pack", 16)
     whole = F.struct(start.alias("a"), (start + F.shiftright("pack", 8).bitwiseAND(F.lit(255)) + (WINDOW - 1)).alias("b"))
     settled = places.filter("NOT mixed").select("cid", whole.alias("span"))
@@ -218,7 +219,7 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     out = keep_table(rows.select("cid", "id", "tkey", "n_bytes", "sha").join(done, "cid", "left")
                      .select("id", "tkey", "n_bytes", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"), "kept", "sha"),
                      "suffix-result")
-    discard(*kept_rows, again, places, segments, texts, marks)
+    discard(*kept_rows, again, places, segments, texts, marks, known)
     return out
 
 
