@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tablefit.llm import quality
 from tablefit.llm.common import table, text_key
@@ -44,3 +45,23 @@ def test_density_matches_numpy(spark, messy, labels):
             z = inv @ (np.array(r.x) - mean)
             want += sign * (offset - 0.5 * z @ z)
         assert r.t == pytest.approx(want, rel=1e-9, abs=1e-6)
+
+
+def test_fit_matches_numpy(spark):
+    """Means, shrunk covariances and priors from the labelled rows themselves, held-out ones left out."""
+    docs, lab = table(spark, SF, "documents"), table(spark, SF, "labels")
+    stats = quality.statistics(docs)
+    rows = stats.join(lab.withColumnRenamed("doc_id", "id"), "id").filter(~quality.held_out(F.col("id"))).select("x", "quality").collect()
+    x = {k: np.array([r.x for r in rows if r.quality == k]) for k in (0, 1)}
+    n = len(x[0]) + len(x[1])
+    cov = {k: np.cov(v, rowvar=False, bias=True) for k, v in x.items()}
+    pooled = (cov[0] * len(x[0]) + cov[1] * len(x[1])) / n
+    floor = np.diag(np.maximum(np.diag(pooled), quality.VARIANCE_FLOOR))
+    model = quality.fit(stats, lab)
+    for k in (0, 1):
+        s = (1 - quality.TOWARDS_POOLED) * cov[k] + quality.TOWARDS_POOLED * pooled
+        s = (1 - quality.TOWARDS_DIAGONAL) * s + quality.TOWARDS_DIAGONAL * floor
+        mean, inv, offset = model.classes[k]
+        assert mean == pytest.approx(x[k].mean(axis=0), rel=1e-9)
+        assert inv.T @ inv == pytest.approx(np.linalg.inv(s), rel=1e-5, abs=1e-6 * np.abs(np.linalg.inv(s)).max())
+        assert offset == pytest.approx(np.log(len(x[k]) / n) - np.linalg.slogdet(s)[1] / 2, rel=1e-8)
