@@ -57,6 +57,21 @@ class Moments:
         r2 = (1.0 if err == 0 else 0.0) if tot == 0 else 1.0 - err / tot
         return float(np.sqrt(err / self.n)), float(r2)
 
+    def __add__(self, other: "Moments") -> "Moments":
+        """The moments of both sets of rows (same scaling, same shift)."""
+        return Moments(self.n + other.n, self.s + other.s, self.G + other.G, self.shift)
+
+    def rescaled(self, have: Scaler, want: Scaler, shift: float) -> "Moments":
+        """The same rows under another scaler and target shift: ``a' = D a + b``."""
+        if have == want and shift == self.shift:
+            return self
+        to = np.array(want.scales)
+        D = np.append(np.array(have.scales) / to, 1.0)
+        b = np.append((np.array(have.means) - np.array(want.means)) / to, self.shift - shift)
+        ds = D * self.s
+        G = D[:, None] * self.G * D + np.outer(ds, b) + np.outer(b, ds) + self.n * np.outer(b, b)
+        return Moments(self.n, ds + self.n * b, G, shift)
+
 
 def moment_aggs(scaler: Scaler, target: str, shift: float):
     cols = scaler.columns() + [F.col(target).cast("double") - F.lit(float(shift))]

@@ -18,7 +18,7 @@ from tablefit.functions.stats import linspace_point, normal_nll, normal_pdf, r2,
 from tablefit.operators import boost, calibration, checks, linear, registry, scoring, search, split
 from tablefit.operators.models import LinearModel
 from tablefit.plans import sqlparts as S
-from tablefit.plans.candidates import univariate_candidates
+from tablefit.plans.candidates import candidate_rounds, univariate_candidates
 from tablefit.session import scratch_path
 from tablefit.sources import layers, tables
 from tablefit.spec import LINEITEM_SPEC, check_signature, signature
@@ -658,10 +658,8 @@ def q_best_calibrated(spark, sf_dir):
 def _promotion_requests(spark, sf_dir):
     """Two promotion rounds (split seeds 42, then 7): champion, challenger and
     best_calibrated registered in each, in that order."""
-    reg = _reg(spark, sf_dir)
     frames = []
-    for rnd, seed in enumerate((SEED, 7)):
-        cands, _ = univariate_candidates(reg, SPEC, seed)
+    for rnd, (cands, _) in enumerate(candidate_rounds(_reg(spark, sf_dir), SPEC, (SEED, 7))):
         top = registry.champion_challenger(cands).select("alias", "run_id")
         best = registry.best_calibrated(cands).select("alias", "run_id")
         pos = F.when(F.col("alias") == "champion", 0).when(F.col("alias") == "challenger", 1).otherwise(2)

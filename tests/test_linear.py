@@ -142,3 +142,26 @@ def test_linear_model_expression_and_distribution(reg, setup):
     assert np.allclose(got["mu"], b + Z @ w, rtol=1e-9)
     ref_sd = np.sqrt(np.einsum("ij,jk,ik->i", Z, sigma, Z) + 1 / alpha)
     assert np.allclose(got["sd"], ref_sd, rtol=1e-9)
+
+
+def test_rounds_of_candidates_match_each_seed_alone(reg):
+    from tablefit.plans.candidates import candidate_rounds, univariate_candidates
+
+    for seed, (together, models) in zip((42, 7, 9), candidate_rounds(reg, SPEC, (42, 7, 9))):
+        alone, one = univariate_candidates(reg, SPEC, seed)
+        for a, b in zip(together.collect(), alone.collect()):
+            assert (a.run_id, a.model_type, a.ord, a.feature) == (b.run_id, b.model_type, b.ord, b.feature)
+            assert a.val_rmse == pytest.approx(b.val_rmse, rel=1e-10)
+            assert (a.val_nll is None) == (b.val_nll is None) and (a.val_nll is None or a.val_nll == pytest.approx(b.val_nll, rel=1e-10))
+        for k, m in models.items():
+            assert np.allclose(m.coef, one[k].coef, rtol=1e-9) and np.isclose(m.intercept, one[k].intercept, rtol=1e-10)
+
+
+def test_moments_under_another_scaler(reg, setup):
+    from tablefit.functions.scaler import Scaler
+
+    scaler, m, _, _ = setup
+    other = Scaler(scaler.features, tuple(x + 0.3 for x in scaler.means), tuple(2.5 * s for s in scaler.stds))
+    want = linear.moments(reg, other, "revenue", 123.0)[None]
+    got = m.rescaled(scaler, other, 123.0)
+    assert got.n == want.n and np.allclose(got.s, want.s, rtol=1e-9) and np.allclose(got.G, want.G, rtol=1e-9)
