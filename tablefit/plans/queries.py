@@ -8,6 +8,7 @@ in both forms so a value hash compares them; columns are aliased identically.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -128,6 +129,18 @@ def q_layer_roundtrip(spark, sf_dir):
     return layers.read_layer(spark, f"{root}/gold")
 
 
+@query("catalog_layer", f"WITH {S.reg_cte(null_tax=True)} SELECT {FEATS_SQL}, revenue FROM reg WHERE "
+       + " AND ".join(f"{c} IS NOT NULL" for c in [*S.FEATS, "revenue"]))
+def q_catalog_layer(spark, sf_dir):
+    """S5, S6, S8, P3 on a catalog table: rows with nulls written, then the silver rows over them from the same table."""
+    db = f"tablefit_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'catalog')}'")
+    table = f"{db}.lineitem_layer"
+    layers.write_layer(tables.null_injected(_reg(spark, sf_dir)).select(*SPEC.features, "revenue"), table)
+    layers.write_layer(layers.silver_dropna(layers.read_layer(spark, table)), table)
+    return layers.read_layer(spark, table)
+
+
 @query("gold_select", f"WITH {S.reg_cte(numbered=True)} SELECT {REG_COLS} FROM reg")
 def q_gold_select(spark, sf_dir):
     """Features, target, ID in that order."""

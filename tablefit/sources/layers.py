@@ -1,7 +1,7 @@
 """Sources, sinks and the bronze -> silver -> gold layers.
 
 A layer is a pure function of its upstream DataFrame; a write is an overwrite
-of a parquet path (a new snapshot) or a catalog table under the shared folder.
+of a parquet path or a catalog table: a new snapshot in both cases.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablefit.operators import checks
+from tablefit.sources.catalog import release_table, write_table
 from tablefit.sources.commits import CommitLog
 from tablefit.spec import FeatureSpec
 
@@ -145,8 +146,9 @@ def _swap_in(spark: SparkSession, new: str, target: str) -> None:
 def write_layer(df: DataFrame, target: str, comment: str | None = None, fmt: str = "parquet",
                 partition_by: list[str] | None = None, snapshots: bool = True) -> str:
     """Overwrite a layer: a path (``/``, ``:`` in it; a new snapshot, readers of the
-    old one go on undisturbed) or a catalog table name. With ``snapshots=False`` the
-    rows lie in the folder itself, for readers that know no layers."""
+    old one go on undisturbed) or a catalog table name (``catalog``: snapshots too).
+    With ``snapshots=False`` a path's rows lie in the folder itself, for readers that
+    know no layers."""
     if _is_path(target):
         name = f"_v-{uuid.uuid4().hex}"
         at = f"{target.rstrip('/')}/{name}" if snapshots else f"{_beside(target, 'new')}-{uuid.uuid4().hex}"
@@ -159,15 +161,7 @@ def write_layer(df: DataFrame, target: str, comment: str | None = None, fmt: str
         else:
             _swap_in(df.sparkSession, at, target)
         return target
-    writer = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if comment is not None:
-        writer = writer.option("comment", comment)
-    writer.saveAsTable(target)
-    if comment is not None:
-        escaped = comment.replace("'", "\\'")
-        df.sparkSession.sql(f"COMMENT ON TABLE {target} IS '{escaped}'")
+    write_table(df, target, fmt, partition_by, comment)
     return target
 
 
@@ -195,9 +189,12 @@ def read_layer(spark: SparkSession, target: str, fmt: str = "parquet", snapshot:
     return spark.table(target)
 
 
-def release_layer(spark: SparkSession, target: str, keep: int = 1) -> list[int]:
+def release_layer(spark: SparkSession, target: str, keep: int = 1) -> list:
     """Delete all but the last ``keep`` snapshots (at least one stays) and data folders
-    of writes that failed; only when no job reads or writes the layer. Returns what is kept."""
+    of writes that failed; only when no job reads or writes the layer. Returns what is kept
+    (numbers; folder names of a catalog table)."""
+    if not _is_path(target):
+        return release_table(spark, target, keep)
     log = _snapshots(spark, target)
     numbers = log.numbers()
     kept = numbers[-max(1, keep):]
