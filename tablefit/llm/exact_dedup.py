@@ -4,9 +4,10 @@ One scan reduces each row to a narrow key (byte length, hash of the first
 characters, SHA-256). Lengths held by one row are settled by the length alone,
 then (length, prefix) pairs held by one row by the prefix; only the rows of the
 surviving groups take part in the comparison of full digests. No text is
-shuffled. The groups are counted with map-side partial aggregates and joined
-back, so a hot group is folded before the shuffle and its rows are dealt out by
-the skew handling of the join; no window or list holds a group.
+shuffled. The groups are counted with map-side partial aggregates, written, and
+joined back from the written table: a join whose small side is known to be small
+is broadcast, else its hot groups are split by the skew handling of the join, as
+nothing after it asks for its partitioning. No window or list holds a group.
 
 Defined results: a null text counts as empty, a null ID loses against any other
 ID and keeps itself only if the whole group has null IDs; repeated rows (same ID
@@ -36,14 +37,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keys = keep_table(narrow_keys(docs, id_col, text_col), "exact-keys")
     # Level 1: lengths. Level 2: prefixes, among rows whose length repeats. The
     # prefix counts are taken once and rolled up to the lengths.
-    by_prefix = keys.groupBy("len", "prefix").agg(F.count(F.lit(1)).alias("n"))
+    by_prefix = keep_table(keys.groupBy("len", "prefix").agg(F.count(F.lit(1)).alias("n")), "exact-prefixes")
     by_len = by_prefix.groupBy("len").agg(F.sum("n").alias("n_len")).filter("n_len > 1")
-    open_groups = by_prefix.filter("n > 1").join(by_len, "len", "left_semi").select("len", "prefix")
-    # Level 3: full digests of the rows still open.
-    open_rows = keys.join(open_groups, ["len", "prefix"], "left_semi")
-    full = (open_rows.groupBy("len", "prefix", "sha")
-            .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-            .filter("group_size > 1"))
+    open_groups = keep_table(by_prefix.filter("n > 1").join(by_len, "len", "left_semi").select("len", "prefix"), "exact-open")
+    # Level 3: full digests of the rows still open. Written between join and count, so that
+    # the join may be split (or broadcast, its size known) and each task folds before the shuffle.
+    open_rows = keep_table(keys.join(open_groups, ["len", "prefix"], "left_semi").select("id", "len", "prefix", "sha"), "exact-rows")
+    full = keep_table(open_rows.groupBy("len", "prefix", "sha")
+                      .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+                      .filter("group_size > 1"), "exact-full")
     return (keys.join(full, ["len", "prefix", "sha"], "left")
             .select("id", "key",
                     F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
