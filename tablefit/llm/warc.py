@@ -3,9 +3,11 @@
 Writing: payload digests are taken in one scan, equal payloads are grouped by
 digest and length, and every page but the one with the largest ID becomes a
 ``revisit`` of that one. Each record is a gzip member of its own, so an index
-entry (file, offset, length) opens it alone. The files go through Spark's text
-writer (its commit protocol, any file system that Spark can write); what it puts
-after each line is an empty gzip member, which readers skip.
+entry (file, offset, length) opens it alone. A task gathers records up to the size
+of a file, so that neither pages of megabytes nor very many small ones make a file
+too large to be read as one value. The files go through Spark's text writer (its
+commit protocol, any file system that Spark can write); what it puts after the
+content is an empty gzip member, which readers skip.
 
 Reading: each archive file is a capture run, sorted by URL key and timestamp
 where it is read. The runs are cut at common key ranges, and each range merges
@@ -35,7 +37,9 @@ from pyspark.sql import functions as F
 from tablefit.llm.common import keep_table, scratch_path, ship, table, text_key, text_or_empty
 
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
-RECORDS_PER_FILE = 2000
+#: A file is closed at so many bytes or records, whichever comes first (a longer record has a file of its own).
+FILE_BYTES = 32 << 20
+RECORDS_PER_FILE = 20_000
 #: Index entries merged in one range.
 RANGE_ROWS = 100_000
 READ_BYTES = 1 << 16
@@ -85,21 +89,33 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
                           .select(F.col("id").alias("rid"), F.col("key").alias("rkey"), "refers").distinct(), "warc-revisits")
     joined = rows.join(revisits, F.col("id").eqNullSafe(F.col("rid")) & (F.col("key") == F.col("rkey")), "left")
 
+    most_bytes, most_records = FILE_BYTES, RECORDS_PER_FILE
+
     def run(batches):
         import pyarrow as pa
 
+        def file():
+            return pa.record_batch([pa.array([b"".join(held)], pa.binary())], ["content"])
+
+        held, size = [], 0
         for b in batches:
-            out = []
-            for page, url, text, day, refers, key in zip(*(b.column(c).to_pylist() for c in ("id", "url", "body", "date", "refers", "rkey"))):
-                day = day or (EPOCH + timedelta(seconds=page or 0)).strftime("%Y-%m-%dT%H:%M:%SZ")
-                rec = warc_record(page, url, day, text.encode("utf-8", "surrogatepass"), refers, key is not None)
-                out.append(gzip.compress(rec, 6, mtime=0))
-            yield pa.record_batch([pa.array(out, pa.binary())], ["member"])
-
-    (joined.select("id", "url", "body", "date", "refers", "rkey").mapInArrow(run, "member binary")
-     .select(F.col("member").cast("string").alias("value"))
+            for page, url, text, day, refers, key in zip(*(b.column(c) for c in ("id", "url", "body", "date", "refers", "rkey"))):
+                page = page.as_py()
+                day = day.as_py() or (EPOCH + timedelta(seconds=page or 0)).strftime("%Y-%m-%dT%H:%M:%SZ")
+                rec = gzip.compress(warc_record(page, url.as_py(), day, text.as_py().encode("utf-8", "surrogatepass"), refers.as_py(),
+                                                key.is_valid), 6, mtime=0)
+                if held and (size + len(rec) > most_bytes or len(held) == most_records):
+                    yield file()
+                    held, size = [], 0
+                held.append(rec)
+                size += len(rec)
+        if held:
+            yield file()
+
+    (joined.select("id", "url", "body", "date", "refers", "rkey").mapInArrow(run, "content binary")
+     .select(F.col("content").cast("string").alias("value"))
      .write.option("encoding", "ISO-8859-1").option("lineSep", EMPTY_MEMBER.decode("latin-1"))
-     .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
+     .option("maxRecordsPerFile", 1).text(path))
 
 
 def members(data: bytes):

@@ -48,6 +48,30 @@ def test_an_entry_opens_its_record_alone(spark):
     assert whole.count(b"WARC-Record-ID: ") == 9
 
 
+def test_files_are_closed_by_bytes_and_by_records(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, f"http://h.org/{i}", "".join(chr(rng.randrange(32, 0x700)) for _ in range(rng.choice([5, 900, 6_000])))) for i in range(120)]
+    rows.append((120, "http://h.org/long", "".join(chr(rng.randrange(32, 0x700)) for _ in range(60_000))))
+
+    def sizes(path):
+        index = warc.capture_runs(spark, path).collect()
+        assert sorted(r.id for r in index) == list(range(121))
+        per = {}
+        for r in index:
+            per.setdefault(r.run, []).append(r.length)
+        return per
+
+    whole = sizes(archives(spark, rows, 2))
+    assert len(whole) <= 2
+    monkeypatch.setattr(warc, "FILE_BYTES", 20_000)
+    cut = sizes(archives(spark, rows, 2))
+    assert len(cut) > 10 and all(sum(x) <= 20_000 or len(x) == 1 for x in cut.values()) and max(map(sum, cut.values())) > 20_000
+    monkeypatch.setattr(warc, "FILE_BYTES", 1 << 30)
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 7)
+    cut = sizes(archives(spark, rows, 2))
+    assert len(cut) >= 18 and max(map(len, cut.values())) == 7
+
+
 def test_empty_table(spark):
     path = archives(spark, [], 1)
     assert warc.merged_index(warc.capture_runs(spark, path)).count() == 0
