@@ -69,12 +69,21 @@ def text_key(text_col: str | Column) -> Column:
     return F.xxhash64(text_or_empty(text_col).cast("binary"))
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, or what it takes to differ from all ``columns`` (in any case of letters)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def drop_rows(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``docs`` without the rows whose (ID, text key) is in ``gone(id, key)``."""
-    gone = gone.select(F.col("id").alias("__id"), F.col("key").alias("__gone")).distinct()
-    return (docs.withColumn("__key", text_key(text_col))
-            .join(gone, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__gone")), "left_anti")
-            .drop("__key"))
+    key, gone_id, gone_key = (free_name(n, docs.columns) for n in ("__key", "__id", "__gone"))
+    gone = gone.select(F.col("id").alias(gone_id), F.col("key").alias(gone_key)).distinct()
+    return (docs.withColumn(key, text_key(text_col))
+            .join(gone, F.col(id_col).eqNullSafe(F.col(gone_id)) & (F.col(key) == F.col(gone_key)), "left_anti")
+            .drop(key))
 
 
-__all__ = ["LOWER", "UPPER", "discard", "drop_rows", "keep_table", "lower_ascii", "scratch_path", "shared_dir", "ship", "table", "text_key", "text_or_empty"]
+__all__ = ["LOWER", "UPPER", "discard", "drop_rows", "free_name", "keep_table", "lower_ascii", "scratch_path", "shared_dir", "ship", "table", "text_key", "text_or_empty"]

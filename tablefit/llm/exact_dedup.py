@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablefit.llm.common import drop_rows, keep_table, lower_ascii, text_key, text_or_empty
+from tablefit.llm.common import drop_rows, free_name, keep_table, lower_ascii, text_key, text_or_empty
 
 PREFIX_CHARS = 64
 
@@ -64,8 +64,9 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if twice.isEmpty():
         return drop_rows(docs, gone, id_col, text_col)
     other = kept.join(twice, "sha").filter("key != low").select("id", "key")
-    return drop_rows(docs, gone.union(other), id_col, text_col).withColumn(
-        "__key", text_key(text_col)).dropDuplicates([id_col, "__key"]).drop("__key")
+    key = free_name("__key", docs.columns)
+    return (drop_rows(docs, gone.union(other), id_col, text_col).withColumn(key, text_key(text_col))
+            .dropDuplicates([id_col, key]).drop(key))
 
 
 ORACLE = f"""

@@ -134,17 +134,21 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
     return Discriminant(classes, share)
 
 
-def scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, key, held_out, score, predicted``, one row per input row."""
+def scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id_col: str | None = None,
+           label_col: str = "quality") -> DataFrame:
+    """``id, key, held_out, score, predicted``, one row per input row. The labels' ID is
+    ``label_id_col`` (as in ``docs`` unless given)."""
     stats = keep_table(statistics(docs, id_col, text_col), "quality-stats")
-    model = fit(stats, labels, "doc_id")
+    model = fit(stats, labels, label_id_col or id_col, label_col)
     return (stats.select("id", "key", held_out(F.col("id")).alias("held_out"), model.score().alias("score"))
             .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id_col: str | None = None,
+              label_col: str = "quality") -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, all columns kept."""
-    return drop_rows(docs, scores(docs, labels, id_col, text_col).filter("predicted = 0"), id_col, text_col)
+    bad = scores(docs, labels, id_col, text_col, label_id_col, label_col).filter("predicted = 0")
+    return drop_rows(docs, bad, id_col, text_col)
 
 
 def query(spark, sf_dir) -> DataFrame:

@@ -41,3 +41,12 @@ def test_one_row_of_each_group_stays(messy):
 def test_empty(empty):
     assert exact_dedup.exact_groups(empty).count() == 0
     assert exact_dedup.drop_duplicates(empty).count() == 0
+
+
+def test_columns_named_like_the_operators_own_stay(spark):
+    rows = [(1, "A b", "k1", 7, "g"), (2, "a B", "k2", 8, "h"), (2, "a B", "k3", 9, "h"), (3, "c", None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __key string, __ID int, __gone string")
+    kept = exact_dedup.drop_duplicates(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id, r["__key"] in ("k2", "k3", None), r["__ID"]) for r in kept.collect())[1] == (3, True, None)
+    assert kept.count() == 2

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from tablefit.llm import quality
 from tablefit.llm.common import table, text_key
 
+from .conftest import by_row
+
 SF = "/root/testdata/sf0.01"
 
 
@@ -65,3 +67,12 @@ def test_fit_matches_numpy(spark):
         assert mean == pytest.approx(x[k].mean(axis=0), rel=1e-9)
         assert inv.T @ inv == pytest.approx(np.linalg.inv(s), rel=1e-5, abs=1e-6 * np.abs(np.linalg.inv(s)).max())
         assert offset == pytest.approx(np.log(len(x[k]) / n) - np.linalg.slogdet(s)[1] / 2, rel=1e-8)
+
+
+def test_labels_under_other_names(spark, messy, labels):
+    want = by_row(quality.scores(messy, labels), "id", "score")
+    other = labels.withColumnsRenamed({"doc_id": "ref", "quality": "good"})
+    assert by_row(quality.scores(messy, other, label_id_col="ref", label_col="good"), "id", "score") == want
+    moved = messy.withColumnRenamed("doc_id", "num")
+    assert by_row(quality.scores(moved, labels.withColumnRenamed("doc_id", "num"), "num"), "id", "score") == want
+    assert quality.keep_good(moved, other, "num", label_id_col="ref", label_col="good").columns == moved.columns
