@@ -52,6 +52,10 @@ def tree_column(node: dict, zs: list[Column]) -> Column:
         tree_column(node["r"], zs))
 
 
+#: Entries of the leaf tables that go along with a model's trees; larger ones are walked.
+TABLE = 1 << 18
+
+
 class FlatTrees:
     """Trees as arrays over all their nodes; a leaf is its own child."""
 
@@ -76,9 +80,43 @@ class FlatTrees:
             depth = max(depth, _depth(tree))
         self.feature, self.left, self.right, self.roots = (np.array(a, np.int32) for a in (feature, left, right, roots))
         self.threshold, self.value, self.depth = np.array(threshold, float), np.array(value, float), depth
+        self.tables = self._tables(trees)
 
     def arrays(self) -> tuple:
-        return self.feature, self.threshold, self.left, self.right, self.value, self.roots, self.depth
+        return self.feature, self.threshold, self.left, self.right, self.value, self.roots, self.depth, self.tables
+
+    def _tables(self, trees: list):
+        """``(cuts, masks, leaves)``: the sorted cut points of every feature; per tree, feature and
+        number of cut points below a value the leaves (bits) that the feature's splits leave open;
+        the leaves' values. None for trees of more than 64 leaves or with too many cut points."""
+        inner = self.left != np.arange(len(self.left))
+        cuts = {int(f): np.unique(self.threshold[inner & (self.feature == f)]) for f in np.unique(self.feature[inner])}
+        if len(trees) * sum(len(c) + 1 for c in cuts.values()) > TABLE or any(np.isnan(c).any() for c in cuts.values()):
+            return None
+        masks = {f: np.full((len(trees), len(c) + 1), (1 << 64) - 1, np.uint64) for f, c in cuts.items()}
+        leaves = np.zeros((len(trees), 64))
+
+        def open_(k, node, first):
+            """The number of the node's leaves, which are bits from ``first`` on."""
+            if "v" in node:
+                if first < 64:
+                    leaves[k, first] = node["v"]
+                return 1
+            a = open_(k, node["l"], first)
+            b = open_(k, node["r"], first + a)
+            if first + a + b <= 64:
+                row, at = masks[node["f"]][k], int(np.searchsorted(cuts[node["f"]], node["t"])) + 1
+                row[:at] &= np.uint64(~(((1 << b) - 1) << (first + a)) & ((1 << 64) - 1))
+                row[at:] &= np.uint64(~(((1 << a) - 1) << first) & ((1 << 64) - 1))
+            return a + b
+
+        for k, tree in enumerate(trees):
+            n = open_(k, tree, 0)
+            if n > 64:
+                return None
+            if masks:  # bits of no leaf
+                next(iter(masks.values()))[k] &= np.uint64((1 << n) - 1)
+        return cuts, masks, leaves
 
 
 def _depth(node: dict) -> int:
@@ -87,9 +125,27 @@ def _depth(node: dict) -> int:
 
 def weighted_leaves(flat: tuple, Z, weights):
     """``sum_k weights[k] * tree_k(z)`` for each row of ``Z``; ``weights`` may
-    have several columns. Trees are taken in blocks, so memory stays bounded."""
-    feature, threshold, left, right, value, roots, depth = flat
+    have several columns. Trees are taken in blocks, so memory stays bounded.
+
+    With leaf tables a row's cut points are looked up once; in each tree the one
+    leaf that is left open by all features is the row's."""
+    feature, threshold, left, right, value, roots, depth, tables = flat
     out = np.zeros((len(Z), weights.shape[1]))
+    if tables is not None:
+        cuts, masks, leaves = tables
+        codes = {f: np.searchsorted(c, Z[:, f], "left") for f, c in cuts.items()}
+        for k in range(0, len(roots), 64):
+            found = np.empty((len(Z), len(roots[k:k + 64])))
+            for j in range(found.shape[1]):
+                still = None
+                for f, code in codes.items():
+                    mask = masks[f][k + j].take(code)
+                    still = mask if still is None else np.bitwise_and(still, mask, out=still)
+                # The exponent of a power of two as a double is the number of its bit.
+                found[:, j] = leaves[k + j, 0] if still is None else leaves[k + j].take(
+                    (still.astype(float).view(np.int64) >> 52) - 1023)
+            out += found @ weights[k:k + 64]
+        return out
     rows = np.arange(len(Z))[:, None]
     for k in range(0, len(roots), 64):
         at = np.repeat(roots[None, k:k + 64], len(Z), axis=0)
